@@ -1,16 +1,14 @@
-"""DuckDB statements that state each query independently of the Spark code (shared: only the feed mapping)."""
+"""DuckDB statements that state each query independently of the Spark code."""
 
 from __future__ import annotations
 
+from checks.feeds_sql import FEED_SQL
 from creditloom.sources.schemas import CUSTOMER_RENAMES, FEEDS
-from creditloom.sources.star_schema import FEED_SQL
 
 
 def _feed(name: str, renames: dict[str, str]) -> str:
-    text, tables = FEED_SQL[name]
-    schema = FEEDS[name][0]
-    columns = ", ".join(f"{c} AS {renames.get(c, c)}" for c in schema.names)
-    return f"SELECT {columns} FROM ({text.format(**{t: t for t in tables})})"
+    columns = ", ".join(f"{c} AS {renames.get(c, c)}" for c in FEEDS[name][0].names)
+    return f"SELECT {columns} FROM ({FEED_SQL[name]})"
 
 
 _CTES: list[tuple[str, str]] = [

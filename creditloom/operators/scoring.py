@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from creditloom.operators import points
 from creditloom.operators.keys import exclude_keys
 from creditloom.operators.points import ScoreParams
-from creditloom.operators.skew import SLICE, hot_keys, repeat_rows, replicate, spread
+from creditloom.operators.skew import HotKeys, hot_keys, listed, repeat_rows, replicate, slice_key, spread
 from creditloom.sources.schemas import T_CUSTOMERS, T_DELINQ, T_LOANS, T_REC_ENQ, T_REPAYMENTS
 
 MEMBER = "member_id"
@@ -59,45 +59,52 @@ def payment_history(
 
 
 class _Members:
-    """Member-level tables prepared for joining on ``(member_id, slice)``.
+    """Member-level tables prepared for joining on the member, or on ``(member, slice)`` when members are hot.
 
-    Listed keys that are hot are removed while scanning, before anything is shuffled; hot members that stay get one
+    Excluded members that are hot leave while scanning, before anything is shuffled; hot members that stay get one
     copy per slice.
     """
 
-    def __init__(self, silver: Silver, exclusions: DataFrame, null_mode: str, parallelism: int | None):
-        keyed = [silver[t] for t in (T_LOANS, T_DELINQ, T_REC_ENQ)]
-        if T_CUSTOMERS in silver:
-            keyed.append(silver[T_CUSTOMERS])
-        hot = hot_keys(keyed, MEMBER, parallelism)
-        # A subset of `hot`, hence no more than `parallelism` rows: safe to broadcast.
-        self.hot_excluded = exclusions.join(F.broadcast(hot), MEMBER, "left_semi").select(MEMBER).distinct()
-        self.hot = hot.join(F.broadcast(self.hot_excluded), MEMBER, "left_anti")
+    def __init__(self, silver: Silver, exclusions: DataFrame, null_mode: str, hot: HotKeys | None):
+        found = hot_members(silver) if hot is None else hot
+        self.gone = listed(exclusions, MEMBER, found)
+        self.hot = {member: slices for member, slices in found.items() if member not in self.gone}
+        self.on = slice_key(MEMBER, self.hot)
         self.silver, self.exclusions, self.null_mode = silver, exclusions, null_mode
 
-    def not_hot_excluded(self, df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(self.hot_excluded), MEMBER, "left_anti")
+    def staying(self, df: DataFrame) -> DataFrame:
+        return df.filter(~F.col(MEMBER).isin(*self.gone)) if self.gone else df
+
+    def spread(self, df: DataFrame) -> DataFrame:
+        return spread(self.staying(df), MEMBER, self.hot, LOAN)
+
+    def replicate(self, df: DataFrame) -> DataFrame:
+        return replicate(self.staying(df), MEMBER, self.hot)
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        return replicate(self.not_hot_excluded(self.silver[name].select(MEMBER, *columns)), MEMBER, self.hot)
+        return self.replicate(self.silver[name].select(MEMBER, *columns))
 
     def delinquent(self, params: ScoreParams) -> DataFrame:
         """Members present in both defaulter tables and not excluded, with their four point columns."""
-        on = [MEMBER, SLICE]
         enquiries = self.table(T_REC_ENQ, "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
-        # No listed key has copies left, so the list only lives in slice 0.
-        listed = self.exclusions.select(MEMBER, F.lit(0).alias(SLICE))
-        kept = exclude_keys(enquiries, listed, MEMBER, self.null_mode, on=[SLICE])
-        return kept.join(self.table(T_DELINQ, "delinq_2yrs"), on).select(
-            *on,
+        # A member that is both excluded and hot is gone by now, so the list matches in slice 0 only.
+        excluded = self.exclusions.select(MEMBER, *[F.lit(0).alias(c) for c in self.on[1:]])
+        kept = exclude_keys(enquiries, excluded, MEMBER, self.null_mode, on=self.on[1:])
+        return kept.join(self.table(T_DELINQ, "delinq_2yrs"), self.on).select(
+            *self.on,
             F.expr(points.delinquency_points(params)).alias("delinq_pts"),
             F.expr(points.public_record_points(params)).alias("public_records_pts"),
             F.expr(points.bankruptcy_points(params)).alias("public_bankruptcies_pts"),
             F.expr(points.enquiry_points(params)).alias("enq_pts"),
         )
 
-    def spread(self, df: DataFrame, *by: str) -> DataFrame:
-        return spread(self.not_hot_excluded(df), MEMBER, self.hot, *by)
+
+def hot_members(silver: Silver, parallelism: int | None = None) -> dict[str, int]:
+    """Members that hold more rows than an average task. Runs one job over the member columns.
+
+    The delinquency table is a subset of the enquiry table's rows and needs no look of its own.
+    """
+    return hot_keys([silver[t] for t in (T_LOANS, T_CUSTOMERS, T_REC_ENQ) if t in silver], MEMBER, parallelism)
 
 
 def ledger(
@@ -105,16 +112,17 @@ def ledger(
     exclusions: DataFrame,
     params: ScoreParams | None = None,
     null_mode: str = "not_in",
-    parallelism: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Payment scores with the member's delinquency, record and enquiry scores; one row per scored repayment.
 
-    Members without a delinquency have no row in the delinquency table and therefore no score.
+    Members without a delinquency have no row in the delinquency table and therefore no score. ``hot`` takes the
+    result of :func:`hot_members`; by default it is computed here.
     """
     params = params or ScoreParams()
-    members = _Members(silver, exclusions, null_mode, parallelism)
-    paid = members.spread(_repaid_loans(silver, params).select(*PAYMENT_COLUMNS, LOAN), LOAN)
-    return paid.join(members.delinquent(params), [MEMBER, SLICE]).select(*LEDGER_COLUMNS)
+    members = _Members(silver, exclusions, null_mode, hot)
+    paid = members.spread(_repaid_loans(silver, params).select(*PAYMENT_COLUMNS, LOAN))
+    return paid.join(members.delinquent(params), members.on).select(*LEDGER_COLUMNS)
 
 
 def loan_points(silver: Silver, params: ScoreParams | None = None) -> DataFrame:
@@ -137,50 +145,40 @@ def gold(
     null_mode: str = "not_in",
     grain: str = "member",
     weighted: bool = False,
-    parallelism: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The three scores of every member.
 
     ``grain="member"`` pairs each scored repayment with each loan of the member; ``grain="loan"`` scores a repayment
     with its own loan only and adds ``loan_id``. ``weighted=True`` returns distinct rows with a ``row_count`` in place
-    of repeated rows (same content, bounded size per member).
+    of repeated rows (same content, bounded size per member). ``hot`` takes the result of :func:`hot_members`; by
+    default it is computed here.
     """
+    if grain not in ("member", "loan"):
+        raise ValueError(f"grain must be 'member' or 'loan', not {grain!r}")
     params = params or ScoreParams()
-    members = _Members(silver, exclusions, null_mode, parallelism)
-    on = [MEMBER, SLICE]
+    members = _Members(silver, exclusions, null_mode, hot)
     profile = members.table(T_CUSTOMERS, "home_ownership", "total_high_credit_limit", "grade", "sub_grade")
-    people = members.delinquent(params).join(profile, on)
+    people = members.delinquent(params).join(profile, members.on)
+    paid_score = F.expr(points.payment_history_score()).alias("payment_history_pts")
     scores = {
         "defaulters_history_pts": F.expr(points.defaulters_history_score()),
         "financial_health_pts": F.expr(points.financial_health_score(params)),
     }
-    paid_score = F.expr(points.payment_history_score()).alias("payment_history_pts")
+    n = F.count(F.lit(1))
 
     if grain == "loan":
-        repaid = _repaid_loans(silver, params, "loan_status")
-        scored = members.spread(repaid, LOAN).join(people, on).withColumns(scores)
-        rows = scored.select(LOAN, MEMBER, paid_score, *scores)
-        if not weighted:
-            return rows
-        return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(ROW_COUNT))
-    if grain != "member":
-        raise ValueError(f"grain must be 'member' or 'loan', not {grain!r}")
-
-    # Payments of a member, reduced to distinct scores: partial counts are taken before the shuffle.
-    paid = (
-        _repaid_loans(silver, params)
-        .select(MEMBER, paid_score)
-        .groupBy(MEMBER, "payment_history_pts")
-        .agg(F.count(F.lit(1)).alias("_payments"))
-    )
-    # Loans of a member, reduced the same way inside each slice; the join already placed them there.
-    loans = members.spread(silver[T_LOANS].select(MEMBER, LOAN, "funded_amount", "loan_status"), LOAN)
-    held = loans.join(people, on).withColumns(scores).groupBy(*on, *scores).agg(F.count(F.lit(1)).alias("_loans"))
+        repaid = members.spread(_repaid_loans(silver, params, "loan_status"))
+        scored = repaid.join(people, members.on).withColumns(scores).select(LOAN, MEMBER, paid_score, *scores)
+        return scored.groupBy(*scored.columns).agg(n.alias(ROW_COUNT)) if weighted else scored
+
+    # Payments of a member as distinct scores: partial counts are taken before the shuffle.
+    paid = _repaid_loans(silver, params).groupBy(MEMBER, paid_score).agg(n.alias("_payments"))
+    # Loans of a member likewise, slice by slice; the join has already brought each slice together.
+    loans = members.spread(silver[T_LOANS].select(MEMBER, LOAN, "funded_amount", "loan_status"))
+    held = loans.join(people, members.on).withColumns(scores).groupBy(*members.on, *scores).agg(n.alias("_loans"))
     # Slices split a hot member's loans, and every slice meets all payment scores of the member.
-    pairs = (
-        held.join(replicate(members.not_hot_excluded(paid), MEMBER, members.hot), on)
-        .select(*GOLD_COLUMNS, (F.col("_payments") * F.col("_loans")).alias(ROW_COUNT))
-    )
+    pairs = held.join(members.replicate(paid), members.on).withColumn(ROW_COUNT, F.col("_payments") * F.col("_loans"))
     if weighted:
         return pairs.groupBy(*GOLD_COLUMNS).agg(F.sum(ROW_COUNT).alias(ROW_COUNT))
     return repeat_rows(pairs, ROW_COUNT).select(*GOLD_COLUMNS)

@@ -1,14 +1,15 @@
 """Hot-key handling for joins on a key that may hold a large share of all rows.
 
 A key is hot when it holds more rows than an average task would get: ``rows(key) > rows(all) / parallelism``.
-There can be at most ``parallelism`` such keys whatever the data volume, so the list is safe to broadcast, and the
-copies that :func:`replicate` adds are bounded by ``2 * parallelism`` per row of a hot key's other side.
-The list only steers the data layout: a key that it misses or over-estimates is still joined exactly.
+There can be fewer than ``parallelism`` such keys whatever the data volume. The list therefore stays small enough for
+the driver and for a broadcast, and :func:`replicate` adds at most ``2 * parallelism`` copies per row and hot key.
+The list only steers the data layout: a key that it misses or over-estimates is still joined exactly. Without hot keys
+every helper returns its input unchanged and the join stays a plain join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,50 +18,61 @@ from pyspark.sql import functions as F
 SLICE = "_slice"
 _MAX_TRACKED = 1_000_000  # upper limit of the sketch
 
+HotKeys = Mapping[str, int]  # key -> number of slices
 
-def default_parallelism(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+def hot_keys(frames: Iterable[DataFrame], key: str, parallelism: int | None = None) -> dict[str, int]:
+    """Find the hot values of ``key`` over all ``frames``; runs one job and returns fewer than ``parallelism`` keys.
 
-def hot_keys(frames: Iterable[DataFrame], key: str, parallelism: int | None = None) -> DataFrame:
-    """Hot values of ``key`` over all ``frames`` as ``(key, slices)``, at most ``parallelism`` rows.
-
-    One pass over the key column with a mergeable frequent-items sketch: no shuffle by key. ``slices`` grows with the
-    share of the key, so each slice holds about one task's worth of rows.
+    The job is one pass over the key column with a mergeable frequent-items sketch, without a shuffle by key. The
+    number of slices grows with the share of the key, so each slice holds about one task's worth of rows.
     """
     keys = reduce(DataFrame.unionAll, [f.select(key) for f in frames])
-    n = parallelism or default_parallelism(keys)
+    n = parallelism or max(2, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     tracked = min(_MAX_TRACKED, 10 * n)
-    top = keys.filter(F.col(key).isNotNull()).agg(
+    sketch = keys.filter(F.col(key).isNotNull()).agg(
         F.expr(f"approx_top_k({key}, {min(n, tracked)}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n_rows")
     )
     share = F.col("count") * n / F.col("n_rows")
-    return (
-        top.select("n_rows", F.inline("top"))
-        .filter(share > 1)
-        .select(F.col("item").alias(key), F.ceil(share).cast("int").alias("slices"))
-    )
+    hot = sketch.select("n_rows", F.inline("top")).filter(share > 1).select("item", F.ceil(share).alias("slices"))
+    return {row["item"]: int(row["slices"]) for row in hot.collect()}
+
+
+def listed(keys: DataFrame, key: str, hot: HotKeys) -> set[str]:
+    """Which of the hot keys occur in the frame ``keys`` (at most ``len(hot)`` values reach the driver)."""
+    if not hot:
+        return set()
+    return {row[key] for row in keys.filter(F.col(key).isin(*hot)).select(key).distinct().collect()}
+
+
+def slice_key(key: str, hot: HotKeys) -> list[str]:
+    """Columns to join on."""
+    return [key, SLICE] if hot else [key]
 
 
-def spread(df: DataFrame, key: str, hot: DataFrame, *by: str) -> DataFrame:
+def spread(df: DataFrame, key: str, hot: HotKeys, *by: str) -> DataFrame:
     """Give each row a slice number: 0 for ordinary keys, a hash of ``by`` and the input split for hot ones.
 
     The input split is part of the hash so that exact copies of a row are spread too. Both parts are the same when a
     lost task is run again.
     """
+    if not hot:
+        return df
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *by), F.col("slices")).cast("int")
-    return _tagged(df, key, hot).withColumn(SLICE, F.coalesce(salt, F.lit(0))).drop("slices")
+    return _with_slices(df, key, hot).withColumn(SLICE, F.coalesce(salt, F.lit(0))).drop("slices")
 
 
-def replicate(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def replicate(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     """Counterpart of :func:`spread`: one copy of each row per slice of its key."""
+    if not hot:
+        return df
     slices = F.sequence(F.lit(0), F.coalesce(F.col("slices"), F.lit(1)) - 1)
-    return _tagged(df, key, hot).withColumn(SLICE, F.explode(slices)).drop("slices")
+    return _with_slices(df, key, hot).withColumn(SLICE, F.explode(slices)).drop("slices")
 
 
-def _tagged(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    # At most `parallelism` rows (see module docstring), so the hint cannot outgrow an executor.
-    return df.join(F.broadcast(hot), key, "left")
+def _with_slices(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
+    rows = df.sparkSession.createDataFrame(list(hot.items()), f"{key} {df.schema[key].dataType.simpleString()}, slices int")
+    return df.join(F.broadcast(rows), key, "left")  # fewer than `parallelism` rows
 
 
 def repeat_rows(df: DataFrame, times: str | Column, block: int = 1 << 16) -> DataFrame:
