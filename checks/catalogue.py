@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,21 +24,34 @@ from creditloom.operators import (
     split_defaulters,
 )
 from creditloom.operators.quality import INGESTED
-from creditloom.sources import star_feed, star_feeds
-from creditloom.sources.schemas import T_CUSTOMERS, T_DELINQ, T_LOANS, T_REC_ENQ, T_REPAYMENTS
+from creditloom.operators.skew import hot_keys
+from creditloom.plans import WEEKLY, Locations, run
+from creditloom.plans.tables import scratch_path
+from creditloom.sources import read_feed, star_feeds
+from creditloom.sources.schemas import (
+    FEEDS,
+    T_CUSTOMERS,
+    T_DELINQ,
+    T_GOLD_WEEKLY,
+    T_LOANS,
+    T_REC_ENQ,
+    T_REPAYMENTS,
+    V_GOLD,
+    V_LEDGER,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOW_CUTOFFS = ScoreParams(cutoff_very_good=800, cutoff_good=600, cutoff_bad=400)
 
 
-def silver(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+def silver(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The five cleansed tables, straight from the feeds."""
-    delinq, rec_enq = split_defaulters(star_feed(spark, "defaulters", directory))
+    delinq, rec_enq = split_defaulters(feeds["defaulters"])
     return {
-        T_CUSTOMERS: clean_customers(star_feed(spark, "customers", directory)).good,
-        T_LOANS: clean_loans(star_feed(spark, "loans", directory)).good,
-        T_REPAYMENTS: clean_repayments(star_feed(spark, "repayments", directory)).good,
+        T_CUSTOMERS: clean_customers(feeds["customers"]).good,
+        T_LOANS: clean_loans(feeds["loans"]).good,
+        T_REPAYMENTS: clean_repayments(feeds["repayments"]).good,
         T_DELINQ: delinq,
         T_REC_ENQ: rec_enq,
     }
@@ -55,17 +69,53 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _cleansed(feed: str, cleanse, side: str) -> Query:
-    return lambda spark, directory: _plain(getattr(cleanse(star_feed(spark, feed, directory)), side))
+    return lambda spark, directory: _plain(getattr(cleanse(star_feeds(spark, directory, feed)[feed]), side))
+
 
+def _over_silver(build) -> Query:
+    """``build(tables, excluded members)`` over all cleansed tables."""
 
-def _scored(build) -> Query:
     def query(spark: SparkSession, directory: str) -> DataFrame:
-        tables = silver(spark, directory)
+        tables = silver(star_feeds(spark, directory))
         return _plain(build(tables, bad_members(tables)))
 
     return query
 
 
+def _over_members(build) -> Query:
+    """``build(tables, excluded members, hot members)``; hot members are looked for in the feeds, before dedup."""
+
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        feeds = star_feeds(spark, directory)
+        tables = silver(feeds)
+        hot = hot_keys([feeds[f] for f in ("loans", "customers", "defaulters")], "member_id")
+        return _plain(build(tables, bad_members(tables), hot))
+
+    return query
+
+
+def _csv_copy(spark: SparkSession, directory: str, feed: str) -> DataFrame:
+    """Store a feed as CSV under its source column names and read it back."""
+    path = scratch_path(spark, f"csv-{feed}")
+    source = {published: name for name, published in FEEDS[feed][1].items()}
+    raw = star_feeds(spark, directory, feed)[feed].withColumnsRenamed(source)
+    raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
+    return read_feed(spark, feed, path, fmt="csv")
+
+
+def _batch(result: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Run the weekly batch job into a database of its own, then read one of its tables or views."""
+
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        root = scratch_path(spark, "batch")
+        database = f"creditloom_{uuid.uuid4().hex[:12]}"
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/catalog'")
+        run(star_feeds(spark, directory), Locations.under(root), database, schedule=WEEKLY)
+        return _plain(result(spark, database))
+
+    return query
+
+
 def queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "silver_customers": _cleansed("customers", clean_customers, "good"),
@@ -76,26 +126,31 @@ def queries() -> dict[str, Query]:
         "reject_repayments": _cleansed("repayments", clean_repayments, "rejected"),
         "delinquencies": _cleansed("defaulters", split_defaulters, "delinq"),
         "records_enquiries": _cleansed("defaulters", split_defaulters, "rec_enq"),
-        "bad_members": _scored(lambda s, x: x),
-        "clean_members_not_in": _scored(lambda s, x: exclude_keys(s[T_REC_ENQ], x, "member_id")),
-        "clean_members_ignore_nulls": _scored(
+        "bad_members": _over_silver(lambda s, x: x),
+        "clean_members_not_in": _over_silver(lambda s, x: exclude_keys(s[T_REC_ENQ], x, "member_id")),
+        "clean_members_ignore_nulls": _over_silver(
             lambda s, x: exclude_keys(s[T_CUSTOMERS], x, "member_id", null_mode="ignore")
         ),
-        "payment_history": _scored(payment_history),
-        "ledger": _scored(ledger),
-        "gold_realtime": _scored(gold),
-        "gold_realtime_weighted": _scored(lambda s, x: gold(s, x, weighted=True)),
-        "gold_loan_grain": _scored(lambda s, x: gold(s, x, grain="loan")),
-        "gold_weekly": _scored(lambda s, x: grade(gold(s, x))),
-        "gold_weekly_low_cutoffs": _scored(lambda s, x: grade(gold(s, x), LOW_CUTOFFS)),
-        "gold_weekly_total_basis": _scored(lambda s, x: grade(gold(s, x), basis="total")),
+        "payment_history": _over_silver(payment_history),
+        "ledger": _over_members(lambda s, x, hot: ledger(s, x, hot=hot)),
+        "gold_realtime": _over_members(lambda s, x, hot: gold(s, x, hot=hot)),
+        "gold_realtime_weighted": _over_members(lambda s, x, hot: gold(s, x, weighted=True, hot=hot)),
+        "gold_loan_grain": _over_members(lambda s, x, hot: gold(s, x, grain="loan", hot=hot)),
+        "gold_weekly": _over_members(lambda s, x, hot: grade(gold(s, x, hot=hot))),
+        "gold_weekly_low_cutoffs": _over_members(lambda s, x, hot: grade(gold(s, x, hot=hot), LOW_CUTOFFS)),
+        "gold_weekly_total_basis": _over_members(lambda s, x, hot: grade(gold(s, x, hot=hot), basis="total")),
         "reconciliation": lambda spark, directory: reconcile(star_feeds(spark, directory)),
     }
+    for feed in FEEDS:
+        named[f"csv_roundtrip_{feed}"] = lambda spark, directory, feed=feed: _csv_copy(spark, directory, feed)
+    named["batch_weekly_table"] = _batch(lambda spark, database: spark.table(f"{database}.{T_GOLD_WEEKLY}"))
+    named["batch_gold_view"] = _batch(lambda spark, database: spark.table(f"{database}.{V_GOLD}"))
+    named["batch_ledger_view"] = _batch(lambda spark, database: spark.table(f"{database}.{V_LEDGER}"))
     for name, column in {
         "status_points": "loan_status_pts",
         "ownership_points": "home_ownership_pts",
         "utilisation_points": "credit_utilisation_pts",
         "subgrade_points": "sub_grade_pts",
     }.items():
-        named[name] = _scored(lambda s, x, column=column: loan_points(s).select("loan_id", "member_id", column))
+        named[name] = _over_silver(lambda s, x, column=column: loan_points(s).select("loan_id", "member_id", column))
     return named

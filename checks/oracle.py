@@ -12,6 +12,7 @@ def _feed(name: str, renames: dict[str, str]) -> str:
 
 
 _CTES: list[tuple[str, str]] = [
+    ("read_customers", _feed("customers", {})),
     ("raw_customers", _feed("customers", CUSTOMER_RENAMES)),
     ("raw_loans", _feed("loans", FEEDS["loans"][1])),
     ("raw_repayments", _feed("repayments", FEEDS["repayments"][1])),
@@ -266,5 +267,12 @@ def oracle_sql() -> dict[str, str]:
         "gold_weekly_low_cutoffs": _grades("financial_health_pts", 800, 600, 400),
         "gold_weekly_total_basis": _grades(_TOTAL, 2500, 2000, 1500),
         "reconciliation": _RECONCILIATION,
+        "csv_roundtrip_customers": "SELECT * FROM read_customers",
+        "csv_roundtrip_loans": "SELECT * FROM raw_loans",
+        "csv_roundtrip_repayments": "SELECT * FROM raw_repayments",
+        "csv_roundtrip_defaulters": "SELECT * FROM raw_defaulters",
+        "batch_weekly_table": _grades("financial_health_pts", 2500, 2000, 1500),
+        "batch_gold_view": "SELECT * FROM gold_rows",
+        "batch_ledger_view": "SELECT * EXCLUDE (loan_id) FROM ledger_rows",
     }
     return {name: _with(text) for name, text in statements.items()}

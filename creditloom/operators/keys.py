@@ -33,15 +33,22 @@ def exclude_keys(
     join, which can be sort-merged when the list is too large to broadcast; a literal NOT IN cannot.
     ``on`` names further join columns present in both inputs (a slice number, for instance).
     """
+    check_null_mode(null_mode)
+    kept = df.join(keys, [column, *on], "left_anti")
+    if null_mode == "ignore":
+        return kept
+    return kept.filter(nothing_unknown(keys, column)).filter(F.col(column).isNotNull() | is_empty(keys))
+
+
+def check_null_mode(null_mode: str) -> None:
     if null_mode not in ("not_in", "ignore"):
         raise ValueError(f"null_mode must be 'not_in' or 'ignore', not {null_mode!r}")
-    kept = df.join(keys, [column, *on], "left_anti")
-    return kept.filter(not_in_guard(keys, column)) if null_mode == "not_in" else kept
 
 
-def not_in_guard(keys: DataFrame, column: str) -> Column:
-    """The NULL rules of NOT IN as a condition on the probe side; one scalar subquery over the list."""
-    state = keys.agg(
-        F.when(F.count(F.lit(1)) == 0, "empty").when(F.count_if(F.col(column).isNull()) > 0, "null").otherwise("keys")
-    ).scalar()
-    return F.when(state == "keys", F.col(column).isNotNull()).otherwise(state == "empty")
+def nothing_unknown(keys: DataFrame, column: str) -> Column:
+    """True unless the list holds a NULL; a scalar subquery over the list."""
+    return keys.agg(F.count_if(F.col(column).isNull()) == 0).scalar()
+
+
+def is_empty(keys: DataFrame) -> Column:
+    return keys.agg(F.count(F.lit(1)) == 0).scalar()

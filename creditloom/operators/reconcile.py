@@ -23,11 +23,19 @@ def _row(feed: str, counted: DataFrame, **counts: Column) -> DataFrame:
     return counted.agg(*aggregates).withColumns({"feed": F.lit(feed), **missing}).select("feed", *COUNTS)
 
 
-def count_customers(raw: DataFrame) -> DataFrame:
-    """One aggregation yields total, duplicate and reject counts: identical rows are grouped with their number."""
-    named = raw.withColumnsRenamed(CUSTOMER_RENAMES)
+def count_customers(raw: DataFrame, stored: Column | None = None) -> DataFrame:
+    """Identical rows are grouped with their number, so one aggregation yields total, duplicates and rejects.
+
+    With ``stored``, the number of rows kept, no rows are grouped: what passed the gate and was not kept is a copy.
+    """
+    named, bad = raw.withColumnsRenamed(CUSTOMER_RENAMES), any_null(*CUSTOMER_MANDATORY)
+    if stored is not None:
+        passed = F.count_if(~bad)
+        return _row(
+            "customers", named, total=F.count(F.lit(1)), success=stored, rejected=F.count_if(bad), duplicates=passed - stored
+        )
     groups = named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    copies, bad = F.col("_copies"), any_null(*CUSTOMER_MANDATORY)
+    copies = F.col("_copies")
     return _row(
         "customers",
         groups,
@@ -72,15 +80,17 @@ def reconcile(feeds: Mapping[str, DataFrame], written: Mapping[str, DataFrame] |
     make it false, and ``unaccounted`` equals their sum when nothing was lost. Each feed is read once. With ``written``
     (``{"customers": table, "customers_rejected": table, ...}``), success and rejected are the rows actually stored.
     """
+    stored = {name: df.agg(F.count(F.lit(1))).scalar() for name, df in (written or {}).items()}
     counters = {
-        "customers": count_customers,
+        "customers": lambda raw: count_customers(raw, stored.get(T_CUSTOMERS)),
         "loans": count_loans,
         "repayments": count_repayments,
         "defaulters": count_defaulters,
     }
     counts = reduce(DataFrame.unionAll, [counters[name](df) for name, df in feeds.items()])
-    if written:
-        counts = _with_stored_counts(counts, written)
+    for table, size in stored.items():
+        feed, column = _PROOF[table]
+        counts = counts.withColumn(column, F.when(F.col("feed") == feed, size).otherwise(F.col(column)))
     unaccounted = F.col("total") - F.col("success") - F.col("rejected")
     return counts.withColumns({"unaccounted": unaccounted, "balanced": unaccounted == 0})
 
@@ -96,13 +106,3 @@ _PROOF = {
     T_DELINQ: ("defaulters", "delinq"),
     T_REC_ENQ: ("defaulters", "rec_enq"),
 }
-
-
-def _with_stored_counts(counts: DataFrame, written: Mapping[str, DataFrame]) -> DataFrame:
-    """Replace expected counts by the size of what was stored (Parquet answers from its footers)."""
-    stored: dict[str, list[Column]] = {}
-    for table, df in written.items():
-        feed, column = _PROOF[table]
-        size = df.agg(F.count(F.lit(1))).scalar()
-        stored.setdefault(column, []).append(F.when(F.col("feed") == feed, size))
-    return counts.withColumns({c: F.coalesce(*found, F.col(c)) for c, found in stored.items()})

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.operators import points
-from creditloom.operators.keys import exclude_keys
+from creditloom.operators.keys import check_null_mode, exclude_keys, nothing_unknown
 from creditloom.operators.points import ScoreParams
 from creditloom.operators.skew import HotKeys, hot_keys, listed, repeat_rows, replicate, slice_key, spread
 from creditloom.sources.schemas import T_CUSTOMERS, T_DELINQ, T_LOANS, T_REC_ENQ, T_REPAYMENTS
@@ -66,6 +66,7 @@ class _Members:
     """
 
     def __init__(self, silver: Silver, exclusions: DataFrame, null_mode: str, hot: HotKeys | None):
+        check_null_mode(null_mode)
         found = hot_members(silver) if hot is None else hot
         self.gone = listed(exclusions, MEMBER, found)
         self.hot = {member: slices for member, slices in found.items() if member not in self.gone}
@@ -89,7 +90,11 @@ class _Members:
         enquiries = self.table(T_REC_ENQ, "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
         # A member that is both excluded and hot is gone by now, so the list matches in slice 0 only.
         excluded = self.exclusions.select(MEMBER, *[F.lit(0).alias(c) for c in self.on[1:]])
-        kept = exclude_keys(enquiries, excluded, MEMBER, self.null_mode, on=self.on[1:])
+        kept = exclude_keys(enquiries, excluded, MEMBER, "ignore", on=self.on[1:])
+        if self.null_mode == "not_in":
+            # The joins drop NULL members anyway, so of the NULL rules only this one is left. It refers to no column
+            # and is therefore checked on this table alone; the other scans do not wait for the list.
+            kept = kept.filter(nothing_unknown(self.exclusions, MEMBER))
         return kept.join(self.table(T_DELINQ, "delinq_2yrs"), self.on).select(
             *self.on,
             F.expr(points.delinquency_points(params)).alias("delinq_pts"),

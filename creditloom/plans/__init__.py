@@ -1,0 +1,16 @@
+from creditloom.plans.batch import DAILY, WEEKLY, open_feeds, run, run_exclusions, run_gold, run_silver
+from creditloom.plans.tables import Locations
+from creditloom.plans.views import deploy_views, weekly_scores
+
+__all__ = [
+    "DAILY",
+    "WEEKLY",
+    "Locations",
+    "deploy_views",
+    "open_feeds",
+    "run",
+    "run_exclusions",
+    "run_gold",
+    "run_silver",
+    "weekly_scores",
+]

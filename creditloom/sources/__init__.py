@@ -1,4 +1,4 @@
 from creditloom.sources.feeds import feed_format, read_feed, read_key_list
-from creditloom.sources.star_schema import raw_feed, star_feed, star_feeds
+from creditloom.sources.star_schema import star_feeds
 
-__all__ = ["feed_format", "read_feed", "read_key_list", "raw_feed", "star_feed", "star_feeds"]
+__all__ = ["feed_format", "read_feed", "read_key_list", "star_feeds"]

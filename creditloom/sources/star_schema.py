@@ -124,29 +124,20 @@ def defaulters_feed(customer: DataFrame) -> DataFrame:
     ).drop("_copy")
 
 
-def raw_feed(spark: SparkSession, name: str, directory: str) -> DataFrame:
-    """Feed ``name`` with its source column names, read from ``directory/<table>.parquet``."""
+def star_feeds(spark: SparkSession, directory: str, *names: str) -> dict[str, DataFrame]:
+    """The named feeds (default: all four) from ``directory/<table>.parquet``, under the names that
+    :func:`creditloom.sources.feeds.read_feed` gives their columns. Each source table is opened once."""
+    tables: dict[str, DataFrame] = {}
 
     def table(source: str) -> DataFrame:
-        return spark.read.parquet(f"{directory}/{source}.parquet")
-
-    match name:
-        case "customers":
-            return customers_feed(table("customer"), table("nation"))
-        case "loans":
-            return loans_feed(table("orders"))
-        case "repayments":
-            return repayments_feed(table("orders"))
-        case "defaulters":
-            return defaulters_feed(table("customer"))
-    raise ValueError(f"no feed named {name!r}")
-
-
-def star_feed(spark: SparkSession, name: str, directory: str) -> DataFrame:
-    """The same feed as :func:`creditloom.sources.feeds.read_feed` would return it."""
-    _, renames = FEEDS[name]
-    return raw_feed(spark, name, directory).withColumnsRenamed(renames)
-
-
-def star_feeds(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    return {name: star_feed(spark, name, directory) for name in FEEDS}
+        if source not in tables:
+            tables[source] = spark.read.parquet(f"{directory}/{source}.parquet")
+        return tables[source]
+
+    build = {
+        "customers": lambda: customers_feed(table("customer"), table("nation")),
+        "loans": lambda: loans_feed(table("orders")),
+        "repayments": lambda: repayments_feed(table("orders")),
+        "defaulters": lambda: defaulters_feed(table("customer")),
+    }
+    return {name: build[name]().withColumnsRenamed(FEEDS[name][1]) for name in names or build}
