@@ -1,9 +1,9 @@
 """Hot-key handling for joins on a key that may hold a large share of all rows.
 
 A key is hot when it holds more rows than an average task would get: ``rows(key) > rows(all) / parallelism``.
-There can be fewer than ``parallelism`` such keys whatever the data volume. The list therefore stays small enough for
-the driver and for a broadcast, and :func:`replicate` adds at most ``2 * parallelism`` copies per row and hot key.
-The list only steers the data layout: a key that it misses or over-estimates is still joined exactly. Without hot keys
+There can be no more than ``parallelism`` such keys whatever the data volume. The list therefore stays small enough for
+the driver and for a broadcast, and all slices together number about ``2 * parallelism``, which bounds the copies that
+:func:`replicate` makes. The list only steers the data layout: a key that it misses or over-estimates is still joined exactly. Without hot keys
 every helper returns its input unchanged and the join stays a plain join.
 """
 
@@ -22,7 +22,7 @@ HotKeys = Mapping[str, int]  # key -> number of slices
 
 
 def hot_keys(frames: Iterable[DataFrame], key: str, parallelism: int | None = None) -> dict[str, int]:
-    """Find the hot values of ``key`` over all ``frames``; runs one job and returns fewer than ``parallelism`` keys.
+    """Find the hot values of ``key`` over all ``frames``; runs one job and returns at most ``parallelism`` keys.
 
     The job is one pass over the key column with a mergeable frequent-items sketch, without a shuffle by key. The
     number of slices grows with the share of the key, so each slice holds about one task's worth of rows.
@@ -72,7 +72,7 @@ def replicate(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
 
 def _with_slices(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     rows = df.sparkSession.createDataFrame(list(hot.items()), f"{key} {df.schema[key].dataType.simpleString()}, slices int")
-    return df.join(F.broadcast(rows), key, "left")  # fewer than `parallelism` rows
+    return df.join(F.broadcast(rows), key, "left")  # at most `parallelism` rows
 
 
 def repeat_rows(df: DataFrame, times: str | Column, block: int = 1 << 16) -> DataFrame:

@@ -35,7 +35,7 @@ def read_feed(
     else:
         reader = spark.read.option("header", True)
         if corrupt_column:
-            schema = StructType(schema.fields).add(corrupt_column, StringType())
+            schema = StructType(list(schema.fields)).add(corrupt_column, StringType())
             reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
         df = reader.schema(schema).csv(path)
     return df.withColumnsRenamed(renames)

@@ -13,9 +13,12 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[*]")
         .appName("creditloom-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.sql.debug.maxToStringFields", "1000")  # plans are compared as text
+        .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
