@@ -6,121 +6,94 @@ takes part, each source is scanned once per feed, and the result grows with it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from creditloom.sources.schemas import FEEDS
 
 
-def _choose(number: Column, values: dict[int, object], default: object) -> Column:
-    """``values[number]``, or ``default`` for a number that is not listed."""
-    first, *rest = values.items()
-    chosen = F.when(number == first[0], first[1])
-    for key, value in rest:
-        chosen = chosen.when(number == key, value)
-    return chosen.otherwise(default)
-
-
-def _float(column: Column) -> Column:
-    return column.cast("float")
-
-
-def _no_text() -> Column:
-    return F.lit(None).cast("string")
-
-
-def _no_float() -> Column:
-    return F.lit(None).cast("float")
-
-
 def customers_feed(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """One row per customer; every 29th has an exact copy, every 31st a copy with another job title."""
-    k = F.col("c_custkey")
-    titles = F.array_compact(
-        F.array(F.col("c_name"), F.when(k % 29 == 1, F.col("c_name")), F.when(k % 31 == 2, F.concat("c_name", F.lit("-b"))))
+    titles = (
+        "array_compact(array(c_name, CASE WHEN c_custkey % 29 = 1 THEN c_name END, "
+        "CASE WHEN c_custkey % 31 = 2 THEN concat(c_name, '-b') END))"
     )
-    letter = F.substring(F.lit("ABCDEFG"), (k % 7 + 1).cast("int"), F.lit(1))
-    step = (F.floor(k / 7) % 5 + 1).cast("string")
-    state = F.when(k % 7 == 0, F.col("n_name")).otherwise(F.concat(F.lit("S"), F.col("c_nationkey") % 10))
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        k.cast("string").alias("member_id"),
-        F.explode(titles).alias("emp_title"),
-        _choose(k % 13, {0: None, 1: "< 1 year", 11: "10+ years", 12: "n/a"}, F.concat(k % 13, F.lit(" years"))).alias(
-            "emp_length"
-        ),
-        _choose(k % 5, {0: "OWN", 1: "RENT", 2: "MORTGAGE", 3: "ANY"}, "unknown").alias("home_ownership"),
-        F.when(k % 17 != 0, _float(F.abs("c_acctbal") * 10)).alias("annual_inc"),
-        F.when(k % 19 != 0, state).alias("addr_state"),
-        F.concat(k % 1000, F.lit("xx")).alias("zip_code"),
-        F.lit("USA").alias("country"),
-        letter.alias("grade"),
-        F.concat(letter, step).alias("sub_grade"),
-        F.lit("Verified").alias("verification_status"),
-        F.when(k % 23 != 0, _float((F.col("c_acctbal") + 1000) * 200)).alias("tot_hi_cred_lim"),
-        F.lit("Individual").alias("application_type"),
-        _no_float().alias("annual_inc_joint"),
-        _no_text().alias("verification_status_joint"),
+    letter = "substr('ABCDEFG', CAST(c_custkey % 7 AS INT) + 1, 1)"
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).selectExpr(
+        "CAST(c_custkey AS STRING) AS member_id",
+        f"explode({titles}) AS emp_title",
+        "CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN '< 1 year' WHEN 11 THEN '10+ years' WHEN 12 THEN 'n/a' "
+        "ELSE concat(c_custkey % 13, ' years') END AS emp_length",
+        "CASE c_custkey % 5 WHEN 0 THEN 'OWN' WHEN 1 THEN 'RENT' WHEN 2 THEN 'MORTGAGE' WHEN 3 THEN 'ANY' "
+        "ELSE 'unknown' END AS home_ownership",
+        "CASE WHEN c_custkey % 17 <> 0 THEN CAST(abs(c_acctbal) * 10 AS FLOAT) END AS annual_inc",
+        "CASE WHEN c_custkey % 19 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN n_name "
+        "ELSE concat('S', c_nationkey % 10) END AS addr_state",
+        "concat(c_custkey % 1000, 'xx') AS zip_code",
+        "'USA' AS country",
+        f"{letter} AS grade",
+        f"concat({letter}, c_custkey DIV 7 % 5 + 1) AS sub_grade",
+        "'Verified' AS verification_status",
+        "CASE WHEN c_custkey % 23 <> 0 THEN CAST((c_acctbal + 1000) * 200 AS FLOAT) END AS tot_hi_cred_lim",
+        "'Individual' AS application_type",
+        "CAST(NULL AS FLOAT) AS annual_inc_joint",
+        "CAST(NULL AS STRING) AS verification_status_joint",
     )
 
 
 def loans_feed(orders: DataFrame) -> DataFrame:
-    o, price = F.col("o_orderkey"), F.col("o_totalprice")
-    status = {
-        0: "Fully Paid",
-        1: "Current",
-        2: "In Grace Period",
-        3: "Late (31-120 days)",
-        4: "Charged Off",
-        5: "Default",
-    }
-    purpose = {0: "debt_consolidation", 1: "credit_card", 2: "Car", 3: "car", 4: "buying_a_spaceship"}
-    return orders.select(
-        o.cast("string").alias("loan_id"),
-        F.col("o_custkey").cast("string").alias("member_id"),
-        F.when(o % 37 != 0, _float(price)).alias("loan_amnt"),
-        _float(price).alias("funded_amnt"),
-        _choose(o % 3, {0: " 36 months", 1: "60 months"}, "18 months").alias("term"),
-        _float(5 + o % 20).alias("int_rate"),
-        _float(price / 36).alias("installment"),
-        F.col("o_orderdate").cast("date").cast("string").alias("issue_d"),
-        _choose(o % 7, status, "Does not meet the credit policy. Status:Fully Paid").alias("loan_status"),
-        _choose(o % 6, purpose, F.when(o % 5 != 0, "house")).alias("purpose"),
-        F.col("o_orderpriority").alias("title"),
+    return orders.selectExpr(
+        "CAST(o_orderkey AS STRING) AS loan_id",
+        "CAST(o_custkey AS STRING) AS member_id",
+        "CASE WHEN o_orderkey % 37 <> 0 THEN CAST(o_totalprice AS FLOAT) END AS loan_amnt",
+        "CAST(o_totalprice AS FLOAT) AS funded_amnt",
+        "CASE o_orderkey % 3 WHEN 0 THEN ' 36 months' WHEN 1 THEN '60 months' ELSE '18 months' END AS term",
+        "CAST(5 + o_orderkey % 20 AS FLOAT) AS int_rate",
+        "CAST(o_totalprice / 36 AS FLOAT) AS installment",
+        "CAST(CAST(o_orderdate AS DATE) AS STRING) AS issue_d",
+        "CASE o_orderkey % 7 WHEN 0 THEN 'Fully Paid' WHEN 1 THEN 'Current' WHEN 2 THEN 'In Grace Period' "
+        "WHEN 3 THEN 'Late (31-120 days)' WHEN 4 THEN 'Charged Off' WHEN 5 THEN 'Default' "
+        "ELSE 'Does not meet the credit policy. Status:Fully Paid' END AS loan_status",
+        "CASE o_orderkey % 6 WHEN 0 THEN 'debt_consolidation' WHEN 1 THEN 'credit_card' WHEN 2 THEN 'Car' "
+        "WHEN 3 THEN 'car' WHEN 4 THEN 'buying_a_spaceship' "
+        "ELSE CASE WHEN o_orderkey % 5 <> 0 THEN 'house' END END AS purpose",
+        "o_orderpriority AS title",
     )
 
 
 def repayments_feed(orders: DataFrame) -> DataFrame:
     """Most loans have one repayment record; one in eleven has none."""
-    o, price = F.col("o_orderkey"), F.col("o_totalprice")
-    day = F.col("o_orderdate").cast("date").cast("string")
-    share = _choose(o % 8, {0: 0.25, 1: 0.5, 2: 0.75, 3: 1.0, 4: 1.25, 5: 1.5, 6: 2.0}, 0.0)
-    principal = price * (o % 10) / 10
-    return orders.filter(o % 11 != 3).select(
-        o.cast("string").alias("loan_id"),
-        _float(principal).alias("total_rec_prncp"),
-        _float(o % 100).alias("total_rec_int"),
-        _float(o % 4).alias("total_rec_late_fee"),
-        F.when(o % 13 == 0, _float(F.lit(0))).otherwise(_float(principal + 10)).alias("total_pymnt"),
-        F.when(o % 41 != 0, _float(_float(price / 36).cast("double") * share)).alias("last_pymnt_amnt"),
-        F.when(o % 9 == 0, "0.0").otherwise(day).alias("last_pymnt_d"),
-        _choose(o % 4, {0: "0.0", 1: None}, day).alias("next_pymnt_d"),
+    share = (
+        "CASE o_orderkey % 8 WHEN 0 THEN 0.25D WHEN 1 THEN 0.5D WHEN 2 THEN 0.75D WHEN 3 THEN 1D WHEN 4 THEN 1.25D "
+        "WHEN 5 THEN 1.5D WHEN 6 THEN 2D ELSE 0D END"
+    )
+    principal = "o_totalprice * (o_orderkey % 10) / 10"
+    day = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
+    return orders.filter("o_orderkey % 11 <> 3").selectExpr(
+        "CAST(o_orderkey AS STRING) AS loan_id",
+        f"CAST({principal} AS FLOAT) AS total_rec_prncp",
+        "CAST(o_orderkey % 100 AS FLOAT) AS total_rec_int",
+        "CAST(o_orderkey % 4 AS FLOAT) AS total_rec_late_fee",
+        f"CAST(CASE WHEN o_orderkey % 13 = 0 THEN 0D ELSE {principal} + 10 END AS FLOAT) AS total_pymnt",
+        "CASE WHEN o_orderkey % 41 <> 0 "
+        f"THEN CAST(CAST(CAST(o_totalprice / 36 AS FLOAT) AS DOUBLE) * {share} AS FLOAT) END AS last_pymnt_amnt",
+        f"CASE WHEN o_orderkey % 9 = 0 THEN '0.0' ELSE {day} END AS last_pymnt_d",
+        f"CASE o_orderkey % 4 WHEN 0 THEN '0.0' WHEN 1 THEN NULL ELSE {day} END AS next_pymnt_d",
     )
 
 
 def defaulters_feed(customer: DataFrame) -> DataFrame:
     """One row per customer; every 43rd has a copy."""
-    k = F.col("c_custkey")
-    return customer.select(
-        k.cast("string").alias("member_id"),
-        F.when(k % 9 != 8, _float(k % 9)).alias("delinq_2yrs"),
-        _float(F.abs("c_acctbal")).alias("delinq_amnt"),
-        F.when(F.floor(k / 3) % 8 != 7, _float(F.floor(k / 3) % 8)).alias("pub_rec"),
-        _float(F.floor(k / 5) % 8).alias("pub_rec_bankruptcies"),
-        _float(F.floor(k / 7) % 8).alias("inq_last_6mths"),
-        _float(F.lit(0)).alias("total_rec_late_fee"),
-        _float(k % 4).alias("mths_since_last_delinq"),
-        _no_float().alias("mths_since_last_record"),
-        F.explode(F.sequence(F.lit(0), F.when(k % 43 == 5, 1).otherwise(0))).alias("_copy"),
+    return customer.selectExpr(
+        "CAST(c_custkey AS STRING) AS member_id",
+        "CAST(nullif(c_custkey % 9, 8) AS FLOAT) AS delinq_2yrs",
+        "CAST(abs(c_acctbal) AS FLOAT) AS delinq_amnt",
+        "CAST(nullif(c_custkey DIV 3 % 8, 7) AS FLOAT) AS pub_rec",
+        "CAST(c_custkey DIV 5 % 8 AS FLOAT) AS pub_rec_bankruptcies",
+        "CAST(c_custkey DIV 7 % 8 AS FLOAT) AS inq_last_6mths",
+        "CAST(0 AS FLOAT) AS total_rec_late_fee",
+        "CAST(c_custkey % 4 AS FLOAT) AS mths_since_last_delinq",
+        "CAST(NULL AS FLOAT) AS mths_since_last_record",
+        "explode(sequence(0, if(c_custkey % 43 = 5, 1, 0))) AS _copy",
     ).drop("_copy")
 
 
