@@ -88,8 +88,9 @@ class _Members:
     def delinquent(self, params: ScoreParams) -> DataFrame:
         """Members present in both defaulter tables and not excluded, with their four point columns."""
         enquiries = self.table(T_REC_ENQ, "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
-        # A member that is both excluded and hot is gone by now, so the list matches in slice 0 only.
-        excluded = self.exclusions.select(MEMBER, *[F.lit(0).alias(c) for c in self.on[1:]])
+        # A member that is both excluded and hot is gone by now, so the rest of the list sits in slice 0; it goes
+        # through the same step as the tables and the joins keep one common partitioning.
+        excluded = replicate(self.exclusions.select(MEMBER), MEMBER, self.hot)
         kept = exclude_keys(enquiries, excluded, MEMBER, "ignore", on=self.on[1:])
         if self.null_mode == "not_in":
             # The joins drop NULL members anyway, so of the NULL rules only this one is left. It refers to no column

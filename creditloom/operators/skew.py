@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from functools import reduce
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +28,21 @@ def hot_keys(frames: Iterable[DataFrame], key: str, parallelism: int | None = No
     The job is one pass over the key column with a mergeable frequent-items sketch, without a shuffle by key. The
     number of slices grows with the share of the key, so each slice holds about one task's worth of rows.
     """
-    keys = reduce(DataFrame.unionAll, [f.select(key) for f in frames])
+    keys = reduce(DataFrame.unionAll, [f.select(key) for f in frames]).filter(F.col(key).isNotNull())
     n = parallelism or max(2, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     tracked = min(_MAX_TRACKED, 10 * n)
-    sketch = keys.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {min(n, tracked)}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n_rows")
+    # Sketches of the input splits are merged in about sqrt(n) tasks first, so the last merge sees only that many.
+    group = (F.spark_partition_id() % isqrt(n)).alias("_group")
+    partial = keys.groupBy(group).agg(
+        F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    # Grouped by a constant: no rows in, no row out (sketches cannot be merged from nothing).
+    merged = partial.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {min(n, tracked)})").alias("top"),
+        F.sum("n").alias("n_rows"),
     )
     share = F.col("count") * n / F.col("n_rows")
-    hot = sketch.select("n_rows", F.inline("top")).filter(share > 1).select("item", F.ceil(share).alias("slices"))
+    hot = merged.select("n_rows", F.inline("top")).filter(share > 1).select("item", F.ceil(share).alias("slices"))
     return {row["item"]: int(row["slices"]) for row in hot.collect()}
 
 
