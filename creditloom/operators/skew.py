@@ -1,9 +1,9 @@
 """Hot-key handling for joins on a key that may hold a large share of all rows.
 
-A key is hot when it holds more rows than an average task would get: ``rows(key) > rows(all) / parallelism``.
-There can be no more than ``parallelism`` such keys whatever the data volume. The list therefore stays small enough for
-the driver and for a broadcast, and all slices together number about ``2 * parallelism``, which bounds the copies that
-:func:`replicate` makes. The list only steers the data layout: a key that it misses or over-estimates is still joined exactly. Without hot keys
+A key is hot when it holds more than twice the rows of an average task: ``rows(key) > 2 * rows(all) / parallelism``.
+There can be no more than ``parallelism / 2`` such keys whatever the data volume. The list therefore stays small enough
+for the driver and for a broadcast, and all slices together number about ``1.5 * parallelism`` at most, which bounds the
+copies that :func:`replicate` makes. The list only steers the data layout: a key that it misses or over-estimates is still joined exactly. Without hot keys
 every helper returns its input unchanged and the join stays a plain join.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
+_HOT = 2  # times the rows of an average task
 _MAX_TRACKED = 1_000_000  # upper limit of the sketch
 
 HotKeys = Mapping[str, int]  # key -> number of slices
@@ -41,8 +42,8 @@ def hot_keys(frames: Iterable[DataFrame], key: str, parallelism: int | None = No
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {min(n, tracked)})").alias("top"),
         F.sum("n").alias("n_rows"),
     )
-    share = F.col("count") * n / F.col("n_rows")
-    hot = merged.select("n_rows", F.inline("top")).filter(share > 1).select("item", F.ceil(share).alias("slices"))
+    share = F.col("count") * n / F.col("n_rows")  # in average tasks
+    hot = merged.select("n_rows", F.inline("top")).filter(share > _HOT).select("item", F.ceil(share).alias("slices"))
     return {row["item"]: int(row["slices"]) for row in hot.collect()}
 
 

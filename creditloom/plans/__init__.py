@@ -1,4 +1,4 @@
-from creditloom.plans.batch import DAILY, WEEKLY, open_feeds, run, run_exclusions, run_gold, run_silver
+from creditloom.plans.batch import DAILY, WEEKLY, open_feeds, report, run, run_exclusions, run_gold, run_silver
 from creditloom.plans.tables import Locations
 from creditloom.plans.views import deploy_views, weekly_scores
 
@@ -8,6 +8,7 @@ __all__ = [
     "Locations",
     "deploy_views",
     "open_feeds",
+    "report",
     "run",
     "run_exclusions",
     "run_gold",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from typing import NamedTuple
 
@@ -37,6 +38,8 @@ from creditloom.sources.schemas import (
 
 DAILY, WEEKLY = "DAILY", "WEEKLY"
 
+logger = logging.getLogger(__name__)
+
 
 class SilverTables(NamedTuple):
     """Stored tables by name."""
@@ -158,3 +161,13 @@ def run(
     weekly = run_gold(silver.good, excluded, locations, database, params, schedule, basis)
     written = silver.good | {f"{t}_rejected": df for t, df in silver.rejected.items()}
     return RunResult(silver, excluded, weekly, reconcile(feeds, written))
+
+
+def report(reconciliation: DataFrame) -> list[str]:
+    """Log one line per feed, as a warning where the counts do not add up, and return the lines (four at most)."""
+    lines = []
+    for row in reconciliation.collect():
+        known = {c: n for c, n in row.asDict().items() if n is not None and c != "feed"}
+        lines.append(f"{row['feed']}: " + ", ".join(f"{c}={n}" for c, n in known.items()))
+        logger.log(logging.WARNING if row["balanced"] is False else logging.INFO, lines[-1])
+    return lines

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import ScoreParams, gold, payment_history, reconcile
-from creditloom.plans import DAILY, WEEKLY, Locations, deploy_views, open_feeds, run, run_silver, weekly_scores
+from creditloom.plans import DAILY, WEEKLY, Locations, deploy_views, open_feeds, report, run, run_silver, weekly_scores
 from creditloom.plans.batch import open_configured_feeds
 from creditloom.plans.tables import FEED_KEYS
 from creditloom.sources import star_feeds
@@ -159,6 +159,14 @@ def test_reconciliation_without_stored_tables_agrees(spark, feeds, rows, tmp_pat
     assert rows(reconcile(feeds)) == rows(reconcile(feeds, written))
 
 
+def test_report_warns_about_feeds_that_do_not_add_up(feeds, caplog):
+    with caplog.at_level("INFO", logger="creditloom"):
+        lines = report(reconcile(feeds))
+    assert "loans: total=1500, success=1411, rejected=89, unaccounted=0, balanced=True" in lines
+    warned = [r.message.split(":")[0] for r in caplog.records if r.levelname == "WARNING"]
+    assert warned == ["customers", "repayments"] and len(lines) == 4
+
+
 def test_reconciliation_counts_nan_amounts(spark):
     schema = FEEDS["repayments"][0]
     nan = float("nan")
