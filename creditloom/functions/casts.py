@@ -14,8 +14,12 @@ def digits_only(col: Column) -> Column:
 
 
 def to_int_or_null(col: Column) -> Column:
-    """Text to int; text that is not a number becomes NULL and a fraction is cut off ('36.5' -> 36)."""
-    return F.regexp_replace(F.trim(col), r"\.\d*$", "").try_cast("int")
+    """Text to int; text that is not a number becomes NULL and a fraction is cut off ('36.5' -> 36).
+
+    The pattern is only tried on text that is not a plain integer.
+    """
+    text = F.trim(col)
+    return F.coalesce(text.try_cast("int"), F.regexp_replace(text, r"\.\d*$", "").try_cast("int"))
 
 
 def to_int_trunc(col: Column) -> Column:

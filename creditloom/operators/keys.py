@@ -34,6 +34,8 @@ def exclude_keys(
     ``on`` names further join columns present in both inputs (a slice number, for instance).
     """
     check_null_mode(null_mode)
+    # An inferred list may hold numbers where the keys are text; compare in the type of the keys.
+    keys = keys.select(F.col(column).cast(df.schema[column].dataType).alias(column), *on)
     kept = df.join(keys, [column, *on], "left_anti")
     if null_mode == "ignore":
         return kept

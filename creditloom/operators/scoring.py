@@ -67,6 +67,7 @@ class _Members:
 
     def __init__(self, silver: Silver, exclusions: DataFrame, null_mode: str, hot: HotKeys | None):
         check_null_mode(null_mode)
+        exclusions = exclusions.select(F.col(MEMBER).cast("string").alias(MEMBER))
         found = hot_members(silver) if hot is None else hot
         self.gone = listed(exclusions, MEMBER, found)
         self.hot = {member: slices for member, slices in found.items() if member not in self.gone}
@@ -90,7 +91,7 @@ class _Members:
         enquiries = self.table(T_REC_ENQ, "pub_rec", "pub_rec_bankruptcies", "inq_last_6mths")
         # A member that is both excluded and hot is gone by now, so the rest of the list sits in slice 0; it goes
         # through the same step as the tables and the joins keep one common partitioning.
-        excluded = replicate(self.exclusions.select(MEMBER), MEMBER, self.hot)
+        excluded = replicate(self.exclusions, MEMBER, self.hot)
         kept = exclude_keys(enquiries, excluded, MEMBER, "ignore", on=self.on[1:])
         if self.null_mode == "not_in":
             # The joins drop NULL members anyway, so of the NULL rules only this one is left. It refers to no column

@@ -81,7 +81,7 @@ def qualified(database: str | None, name: str) -> str:
 def write_parquet(df: DataFrame, path: str) -> DataFrame:
     """Overwrite ``path`` and return its content, so that later steps start from the stored files."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -46,6 +46,11 @@ def test_exclusion_is_idempotent(spark):
     assert members(exclude_keys(once, exclude, "member_id")) == members(once) == ["a", "c"]
 
 
+def test_inferred_numeric_list(spark):
+    numbers = spark.createDataFrame([(17,), (18,)], "member_id int")
+    assert members(exclude_keys(keys(spark, "17", "m9"), numbers, "member_id")) == ["m9"]
+
+
 def test_unknown_null_mode(spark):
     with pytest.raises(ValueError):
         exclude_keys(keys(spark, "a"), keys(spark, "b"), "member_id", null_mode="other")
