@@ -31,9 +31,8 @@ def count_customers(raw: DataFrame, stored: Column | None = None) -> DataFrame:
     named, bad = raw.withColumnsRenamed(CUSTOMER_RENAMES), any_null(*CUSTOMER_MANDATORY)
     if stored is not None:
         passed = F.count_if(~bad)
-        return _row(
-            "customers", named, total=F.count(F.lit(1)), success=stored, rejected=F.count_if(bad), duplicates=passed - stored
-        )
+        total, rejected = F.count(F.lit(1)), F.count_if(bad)
+        return _row("customers", named, total=total, success=stored, rejected=rejected, duplicates=passed - stored)
     groups = named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_copies"))
     copies = F.col("_copies")
     return _row(

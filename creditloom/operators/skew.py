@@ -3,8 +3,8 @@
 A key is hot when it holds more than twice the rows of an average task: ``rows(key) > 2 * rows(all) / parallelism``.
 There can be no more than ``parallelism / 2`` such keys whatever the data volume. The list therefore stays small enough
 for the driver and for a broadcast, and all slices together number about ``1.5 * parallelism`` at most, which bounds the
-copies that :func:`replicate` makes. The list only steers the data layout: a key that it misses or over-estimates is still joined exactly. Without hot keys
-every helper returns its input unchanged and the join stays a plain join.
+copies that :func:`replicate` makes. The list only steers the data layout: a key that it misses or over-estimates is
+still joined exactly. Without hot keys every helper returns its input unchanged and the join stays a plain join.
 """
 
 from __future__ import annotations

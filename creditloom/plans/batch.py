@@ -126,8 +126,13 @@ def run_gold(
     schedule: str = DAILY,
     basis: str = "financial_health",
     null_mode: str = "not_in",
+    grain: str = "member",
+    weighted: bool = False,
 ) -> DataFrame | None:
-    """Deploy the score views; on a WEEKLY run also store the graded scores. Other schedules stop at the views."""
+    """Deploy the score views; on a WEEKLY run also store the graded scores. Other schedules stop at the views.
+
+    ``grain`` and ``weighted`` shape the stored scores as in :func:`creditloom.operators.scoring.gold`.
+    """
     spark = excluded.sparkSession
     if not database:
         for table, df in silver.items():
@@ -136,7 +141,7 @@ def run_gold(
     deploy_views(spark, database, params, hot)
     if schedule != WEEKLY:
         return None
-    graded = grade(gold(silver, excluded, params, null_mode, hot=hot), params, basis)
+    graded = grade(gold(silver, excluded, params, null_mode, grain, weighted, hot), params, basis)
     if not database:
         return write_parquet(graded, locations.gold_weekly)
     return save_table(graded, qualified(database, T_GOLD_WEEKLY), locations.gold_weekly)
@@ -149,6 +154,9 @@ def run(
     params: ScoreParams | None = None,
     schedule: str = DAILY,
     basis: str = "financial_health",
+    null_mode: str = "not_in",
+    grain: str = "member",
+    weighted: bool = False,
     tables: str = "external",
 ) -> RunResult:
     """The whole job with one ingest time for all tables. Every stage starts from the files of the one before, so a
@@ -158,7 +166,9 @@ def run(
     now = spark.range(1).select(F.current_timestamp()).first()[0]
     silver = run_silver(feeds, locations, database, F.lit(now), tables)
     excluded = run_exclusions(silver.good, locations, database)
-    weekly = run_gold(silver.good, excluded, locations, database, params, schedule, basis)
+    weekly = run_gold(
+        silver.good, excluded, locations, database, params, schedule, basis, null_mode, grain, weighted
+    )
     written = silver.good | {f"{t}_rejected": df for t, df in silver.rejected.items()}
     return RunResult(silver, excluded, weekly, reconcile(feeds, written))
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import ScoreParams, gold, payment_history, reconcile
-from creditloom.plans import DAILY, WEEKLY, Locations, deploy_views, open_feeds, report, run, run_silver, weekly_scores
+from creditloom.plans import DAILY, WEEKLY, Locations, deploy_views, open_feeds, report, run, run_gold, run_silver, weekly_scores
 from creditloom.plans.batch import open_configured_feeds
 from creditloom.plans.tables import FEED_KEYS
 from creditloom.sources import star_feeds
@@ -106,6 +106,22 @@ def test_run_without_a_database_uses_temporary_views(spark, feeds, tmp_path, row
     assert grades == {"EXCELLENT": 1362, "GOOD": 3036, "MEDIUM": 3481, "HIGH_RISK": 2323}
 
 
+def test_weekly_table_in_other_shapes(spark, feeds, database, tmp_path):
+    where = Locations.under(str(tmp_path))
+    result = run(feeds, where, database, schedule=WEEKLY, weighted=True)
+    assert result.weekly.agg(F.sum("row_count")).first()[0] == GOLD_ROWS > result.weekly.count()
+    by_loan = run_gold(result.silver.good, result.excluded, where, database, schedule=WEEKLY, grain="loan")
+    assert by_loan.count() == LEDGER_ROWS - by_loan_without_customer(result)
+    assert {"loan_id", "loan_final_grade"} <= set(by_loan.columns)
+
+
+def by_loan_without_customer(result):
+    """Scored repayments of members that the customer table does not hold."""
+    from creditloom.operators import ledger
+
+    return ledger(result.silver.good, result.excluded, hot={}).join(result.silver.good["customers"], "member_id", "left_anti").count()
+
+
 def test_null_rules_of_the_persistent_views(spark, feeds, database, tmp_path):
     run(feeds, Locations.under(str(tmp_path)), database)
     listed = f"{database}.view_internal_bad_members"
