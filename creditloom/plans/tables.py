@@ -101,6 +101,15 @@ def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new directory in the shared folder the cluster names; a local one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="creditloom-")
+    """A new directory in the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, a local session gets a temporary folder; on a cluster that folder would differ from machine
+    to machine, so there it is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="creditloom-")
     return f"{folder.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
