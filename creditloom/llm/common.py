@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from creditloom.plans.tables import scratch_path
 #: A document without an id sorts after all others.
 NO_ID = np.iinfo(np.int64).max
 
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the files, so that lost executors never reach further back."""
@@ -24,6 +27,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import this package (elsewhere it is installed or sent along)."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if HOME not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [HOME, known]))
+
+
 def text_hash(text: str | Column = "text") -> Column:
     """Tells rows apart that repeat a document id."""
     return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
@@ -31,6 +41,7 @@ def text_hash(text: str | Column = "text") -> Column:
 
 def text_table(docs: DataFrame, *more: Column) -> DataFrame:
     """``doc_id`` (long), ``text`` (NULL: empty) and ``more``; other columns, whatever their names, stay out."""
+    findable(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more
     )
