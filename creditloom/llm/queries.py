@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from creditloom.llm import decontamination, line_dedup
+from creditloom.llm.packing import pack
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
+from creditloom.llm.token_output import read_tokens, write_tokens
+from creditloom.plans.tables import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,16 +21,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return groups.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048, end_id=1)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "item_id", "n_shared", "n_item")
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(), end_id=2)
+    return read_tokens(spark, path)
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"), counts=True)
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
+        "op4_packing": op4_packing,
+        "op7_decontamination": op7_decontamination,
+        "op8_token_output": op8_token_output,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_decontamination": decontamination.ORACLE,
+        "op10_line_dedup": line_dedup.ORACLE,
+    }
