@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm import decontamination, line_dedup
+from creditloom.llm import decontamination, line_dedup, toxicity
 from creditloom.llm.packing import pack
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
 from creditloom.llm.token_output import read_tokens, write_tokens
@@ -30,6 +30,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), keep=~toxicity.held_out())
+    return toxicity.toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048, end_id=1)
 
@@ -53,6 +59,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_toxicity": op2_toxicity,
         "op4_packing": op4_packing,
         "op7_decontamination": op7_decontamination,
         "op8_token_output": op8_token_output,
