@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from creditloom.llm import decontamination, line_dedup, toxicity
 from creditloom.llm.packing import pack
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
+from creditloom.llm.substring_dedup import remove_repeats
 from creditloom.llm.token_output import read_tokens, write_tokens
 from creditloom.plans.tables import scratch_path
 
@@ -40,6 +41,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048, end_id=1)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), size=20, first=10, with_text=False)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "item_id", "n_shared", "n_item")
@@ -61,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op1_simhash": op1_simhash,
         "op2_toxicity": op2_toxicity,
         "op4_packing": op4_packing,
+        "op5_substring_dedup": op5_substring_dedup,
         "op7_decontamination": op7_decontamination,
         "op8_token_output": op8_token_output,
         "op10_line_dedup": op10_line_dedup,
