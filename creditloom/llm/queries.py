@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import decontamination, line_dedup, toxicity
+from creditloom.llm.neighbours import nearest
 from creditloom.llm.packing import pack
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
 from creditloom.llm.substring_dedup import remove_repeats
@@ -56,6 +57,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"), counts=True)
     return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
@@ -69,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op5_substring_dedup": op5_substring_dedup,
         "op7_decontamination": op7_decontamination,
         "op8_token_output": op8_token_output,
+        "op9_neighbours": op9_neighbours,
         "op10_line_dedup": op10_line_dedup,
     }
 
