@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from creditloom.llm import decontamination, line_dedup, toxicity
 from creditloom.llm.neighbours import nearest
 from creditloom.llm.packing import pack
+from creditloom.llm.personal_data import personal_data
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
 from creditloom.llm.substring_dedup import remove_repeats
 from creditloom.llm.token_output import read_tokens, write_tokens
@@ -46,6 +47,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), size=20, first=10, with_text=False)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "item_id", "n_shared", "n_item")
@@ -72,6 +77,7 @@ def queries() -> dict[str, Query]:
         "op2_toxicity": op2_toxicity,
         "op4_packing": op4_packing,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_personal_data": op6_personal_data,
         "op7_decontamination": op7_decontamination,
         "op8_token_output": op8_token_output,
         "op9_neighbours": op9_neighbours,
