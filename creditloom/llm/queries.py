@@ -12,6 +12,7 @@ from creditloom.llm import decontamination, line_dedup, toxicity
 from creditloom.llm.neighbours import nearest
 from creditloom.llm.packing import pack
 from creditloom.llm.personal_data import personal_data
+from creditloom.llm.secrets import find_secrets
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
 from creditloom.llm.substring_dedup import remove_repeats
 from creditloom.llm.token_output import read_tokens, write_tokens
@@ -39,6 +40,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048, end_id=1)
 
@@ -75,6 +80,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
         "op2_toxicity": op2_toxicity,
+        "op3_secrets": op3_secrets,
         "op4_packing": op4_packing,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_personal_data": op6_personal_data,
