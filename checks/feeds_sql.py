@@ -60,7 +60,7 @@ FROM orders
 """
 
 _REPAYMENTS = """
-SELECT CAST(o_orderkey AS STRING) AS loan_id,
+SELECT CASE WHEN o_orderkey % 11 = 3 THEN concat('unknown-', o_orderkey) ELSE CAST(o_orderkey AS STRING) END AS loan_id,
        CAST(o_totalprice * (o_orderkey % 10) / 10 AS FLOAT) AS total_rec_prncp,
        CAST(o_orderkey % 100 AS FLOAT) AS total_rec_int,
        CAST(o_orderkey % 4 AS FLOAT) AS total_rec_late_fee,
@@ -75,7 +75,6 @@ SELECT CAST(o_orderkey AS STRING) AS loan_id,
        CASE o_orderkey % 4 WHEN 0 THEN '0.0' WHEN 1 THEN NULL
             ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS next_pymnt_d
 FROM orders
-WHERE o_orderkey % 11 <> 3
 """
 
 _DEFAULTERS = """

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.functions.casts import any_null, blank_sentinel, digits_only, to_int_or_null, to_int_trunc
+from creditloom.functions.casts import any_nan, any_null, blank_sentinel, digits_only, to_int_or_null, to_int_trunc
 from creditloom.operators.quality import (
     SplitResult,
     dedupe,
@@ -103,8 +103,11 @@ def clean_repayments(df: DataFrame, ingest_ts: Column | None = None) -> SplitRes
     NULL amounts are quarantined; NaN amounts are neither good nor quarantined (reconciliation counts them).
     """
     stamped = stamp(df, ingest_ts)
-    rejected = quality_gate(stamped, any_null(*REPAYMENT_MANDATORY), REASON_REPAYMENT).rejected
-    paid = repair_total_payment(stamped.na.drop(subset=list(REPAYMENT_MANDATORY))).filter(
+    incomplete = any_null(*REPAYMENT_MANDATORY)
+    rejected = quality_gate(stamped, incomplete, REASON_REPAYMENT).rejected
+    # Plain NULL tests reach the scan; NaN tests are checked on the rows that it returns.
+    whole = stamped.filter(~incomplete & ~any_nan(*REPAYMENT_MANDATORY))
+    paid = repair_total_payment(whole).filter(
         F.col("total_payment_received") != 0.0
     )
     dates = {c: blank_sentinel(F.col(c), NO_DATE) for c in ("last_payment_date", "next_payment_date")}

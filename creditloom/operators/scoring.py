@@ -53,9 +53,12 @@ def _repaid_loans(silver: Silver, params: ScoreParams, *loan_columns: str) -> Da
 def payment_history(
     silver: Silver, exclusions: DataFrame, params: ScoreParams | None = None, null_mode: str = "not_in"
 ) -> DataFrame:
-    """One row per repayment of a loan whose member is not excluded."""
-    scored = _repaid_loans(silver, params or ScoreParams()).select(*PAYMENT_COLUMNS)
-    return exclude_keys(scored, exclusions, MEMBER, null_mode)
+    """One row per repayment of a loan whose member is not excluded.
+
+    The list is applied to loans, so that repayments are never shuffled by member.
+    """
+    kept = exclude_keys(silver[T_LOANS], exclusions, MEMBER, null_mode)
+    return _repaid_loans({**silver, T_LOANS: kept}, params or ScoreParams()).select(*PAYMENT_COLUMNS)
 
 
 class _Members:
@@ -77,8 +80,8 @@ class _Members:
     def staying(self, df: DataFrame) -> DataFrame:
         return df.filter(~F.col(MEMBER).isin(*self.gone)) if self.gone else df
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        return spread(self.staying(df), MEMBER, self.hot, LOAN)
+    def spread(self, df: DataFrame, *by: str) -> DataFrame:
+        return spread(self.staying(df), MEMBER, self.hot, *(by or (LOAN,)))
 
     def replicate(self, df: DataFrame) -> DataFrame:
         return replicate(self.staying(df), MEMBER, self.hot)
@@ -128,8 +131,10 @@ def ledger(
     """
     params = params or ScoreParams()
     members = _Members(silver, exclusions, null_mode, hot)
-    paid = members.spread(_repaid_loans(silver, params).select(*PAYMENT_COLUMNS, LOAN))
-    return paid.join(members.delinquent(params), members.on).select(*LEDGER_COLUMNS)
+    # Repayments are counted before they meet their member: one with very many has a handful of rows in the join.
+    counted = _repaid_loans(silver, params).groupBy(*PAYMENT_COLUMNS).agg(F.count(F.lit(1)).alias(ROW_COUNT))
+    paid = members.spread(counted, *PAYMENT_COLUMNS)
+    return repeat_rows(paid.join(members.delinquent(params), members.on), ROW_COUNT).select(*LEDGER_COLUMNS)
 
 
 def loan_points(silver: Silver, params: ScoreParams | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE = "_slice"
+REPEAT_BLOCK = 1 << 13  # copies of one row that a task writes in one go
 _HOT = 2  # times the rows of an average task
 _MAX_TRACKED = 1_000_000  # upper limit of the sketch
 
@@ -84,14 +85,20 @@ def _with_slices(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     return df.join(F.broadcast(rows), key, "left")  # at most `parallelism` rows
 
 
-def repeat_rows(df: DataFrame, times: str | Column, block: int = 1 << 16) -> DataFrame:
-    """Repeat each row ``times`` times, in blocks, so that no array grows beyond ``block`` or ``times / block``."""
+def repeat_rows(df: DataFrame, times: str | Column, block: int = REPEAT_BLOCK) -> DataFrame:
+    """Repeat each row ``times`` times, in blocks, so that no array grows beyond ``block`` or ``times / block``.
+
+    Blocks are dealt to tasks before they are spelled out, so one row with a very large ``times`` keeps no task busy
+    alone. The number of tasks is given, as adaptive execution would merge them by the few bytes that blocks take.
+    """
     n = F.col(times) if isinstance(times, str) else times
     blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / block))
     in_block = F.least(F.lit(block).cast("bigint"), n - F.col("_block") * block)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.filter(n > 0)
         .withColumn("_block", F.explode(blocks))
+        .repartition(tasks, *df.columns, "_block")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_block)))
         .drop("_block", "_copy")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,11 @@ from creditloom.sources.schemas import (
 
 DAILY, WEEKLY = "DAILY", "WEEKLY"
 
+#: The list that the persistent views use when it is not the one found by the job.
+T_EXCLUDED = "excluded_members"
+
+WRITERS = 4  # silver tables written at a time
+
 logger = logging.getLogger(__name__)
 
 
@@ -93,8 +99,11 @@ def run_silver(
     }
     defaulters = split_defaulters(feeds["defaulters"])
     results = {t: split.good for t, split in splits.items()} | {T_DELINQ: defaulters.delinq, T_REC_ENQ: defaulters.rec_enq}
-    good = {t: write_parquet(df, locations.silver[t]) for t, df in results.items()}
-    rejected = {t: write_parquet(split.rejected, locations.rejected[t]) for t, split in splits.items()}
+    with ThreadPoolExecutor(WRITERS) as pool:  # independent writes fill the gaps that the last tasks of others leave
+        good = {t: pool.submit(write_parquet, df, locations.silver[t]) for t, df in results.items()}
+        rejected = {t: pool.submit(write_parquet, s.rejected, locations.rejected[t]) for t, s in splits.items()}
+        good = {t: written.result() for t, written in good.items()}
+        rejected = {t: written.result() for t, written in rejected.items()}
     if database:
         for t, stored in good.items():
             if tables == "managed":
@@ -104,8 +113,11 @@ def run_silver(
     return SilverTables(good, rejected)
 
 
-def run_exclusions(silver: Mapping[str, DataFrame], locations: Locations, database: str | None = None) -> DataFrame:
-    """Store the members that occur more than once in a member-level table. One write serves both table names."""
+def run_exclusions(
+    silver: Mapping[str, DataFrame], locations: Locations, database: str | None = None, tables: str = "external"
+) -> DataFrame:
+    """Store the members that occur more than once in a member-level table. One write serves both table names, unless
+    ``tables="managed"`` asks for a second copy that the catalog owns."""
     spark = silver[T_CUSTOMERS].sparkSession
     found = duplicate_keys([silver[t] for t in (T_CUSTOMERS, T_DELINQ, T_REC_ENQ)], "member_id")
     if not database:
@@ -113,7 +125,10 @@ def run_exclusions(silver: Mapping[str, DataFrame], locations: Locations, databa
         stored.createOrReplaceTempView(T_BAD_MEMBERS)
         return stored
     stored = save_table(found, qualified(database, T_BAD_MEMBERS), locations.bad_members)
-    register_table(spark, qualified(database, T_BAD_MEMBERS_INTERNAL), locations.bad_members)
+    if tables == "managed":
+        save_table(stored, qualified(database, T_BAD_MEMBERS_INTERNAL))
+    else:
+        register_table(spark, qualified(database, T_BAD_MEMBERS_INTERNAL), locations.bad_members)
     return stored
 
 
@@ -128,17 +143,23 @@ def run_gold(
     null_mode: str = "not_in",
     grain: str = "member",
     weighted: bool = False,
+    excluded_table: str | None = None,
 ) -> DataFrame | None:
     """Deploy the score views; on a WEEKLY run also store the graded scores. Other schedules stop at the views.
 
-    ``grain`` and ``weighted`` shape the stored scores as in :func:`creditloom.operators.scoring.gold`.
+    ``grain`` and ``weighted`` shape the stored scores as in :func:`creditloom.operators.scoring.gold`. Views and stored
+    scores leave out the same members: with a database, ``excluded`` is stored as a table of its own for the views, unless
+    ``excluded_table`` names one of that database that holds it already.
     """
     spark = excluded.sparkSession
     if not database:
         for table, df in silver.items():
             df.createOrReplaceTempView(table)
+    elif not excluded_table:
+        excluded_table = T_EXCLUDED
+        excluded = save_table(excluded, qualified(database, excluded_table))
     hot = hot_members(silver) if schedule == WEEKLY or not database else {}
-    deploy_views(spark, database, params, hot)
+    deploy_views(spark, database, params, hot, excluded_table if database else excluded, null_mode)
     if schedule != WEEKLY:
         return None
     graded = grade(gold(silver, excluded, params, null_mode, grain, weighted, hot), params, basis)
@@ -158,16 +179,20 @@ def run(
     grain: str = "member",
     weighted: bool = False,
     tables: str = "external",
+    listed: DataFrame | None = None,
 ) -> RunResult:
     """The whole job with one ingest time for all tables. Every stage starts from the files of the one before, so a
-    lost executor never sends the work back to the feeds."""
+    lost executor never sends the work back to the feeds. ``listed`` (as :func:`creditloom.sources.read_key_list` reads it) takes the
+    place of the members found here when scoring; those are stored all the same."""
     schedule = schedule.upper()
     spark = feeds["customers"].sparkSession
     now = spark.range(1).select(F.current_timestamp()).first()[0]
     silver = run_silver(feeds, locations, database, F.lit(now), tables)
-    excluded = run_exclusions(silver.good, locations, database)
+    excluded = run_exclusions(silver.good, locations, database, tables)
+    own = T_BAD_MEMBERS_INTERNAL if listed is None else None
+    excluded = excluded if listed is None else listed
     weekly = run_gold(
-        silver.good, excluded, locations, database, params, schedule, basis, null_mode, grain, weighted
+        silver.good, excluded, locations, database, params, schedule, basis, null_mode, grain, weighted, own
     )
     written = silver.good | {f"{t}_rejected": df for t, df in silver.rejected.items()}
     return RunResult(silver, excluded, weekly, reconcile(feeds, written))

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from creditloom.operators import points
+from creditloom.operators.keys import check_null_mode
 from creditloom.operators.points import ScoreParams
 from creditloom.operators.scoring import gold, grade, hot_members, ledger, payment_history
-from creditloom.operators.skew import HotKeys
+from creditloom.operators.skew import REPEAT_BLOCK, HotKeys
 from creditloom.plans.tables import qualified
 from creditloom.sources.schemas import (
     SILVER_TABLES,
@@ -29,23 +30,33 @@ from creditloom.sources.schemas import (
 
 
 def deploy_views(
-    spark: SparkSession, database: str | None = None, params: ScoreParams | None = None, hot: HotKeys | None = None
+    spark: SparkSession,
+    database: str | None = None,
+    params: ScoreParams | None = None,
+    hot: HotKeys | None = None,
+    excluded: DataFrame | str | None = None,
+    null_mode: str = "not_in",
 ) -> None:
     """Create or replace the views over the cleansed tables of ``database`` (default: tables and views by bare name).
 
-    The parameter values are part of the definition, so a later change needs a new deployment.
+    The parameter values are part of the definition, so a later change needs a new deployment. ``excluded`` is the list
+    of members to leave out: the name of a table, or without a database also a DataFrame (default: the stored list).
     """
     params = params or ScoreParams()
     if database:
-        for name, body in view_definitions(database, params).items():
+        if isinstance(excluded, DataFrame):
+            raise ValueError("a persistent view refers to its list by name; store it as a table first")
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for name, body in view_definitions(database, params, excluded, null_mode, tasks).items():
             spark.sql(f"CREATE OR REPLACE VIEW {qualified(database, name)} AS {body}")
         return
     silver = {t: spark.table(t) for t in SILVER_TABLES}
-    excluded = spark.table(T_BAD_MEMBERS)
+    if not isinstance(excluded, DataFrame):
+        excluded = spark.table(excluded or T_BAD_MEMBERS)
     hot = hot_members(silver) if hot is None else hot
-    payment_history(silver, excluded, params).createOrReplaceTempView(V_PAYMENT_HISTORY)
-    ledger(silver, excluded, params, hot=hot).createOrReplaceTempView(V_LEDGER)
-    gold(silver, excluded, params, hot=hot).createOrReplaceTempView(V_GOLD)
+    payment_history(silver, excluded, params, null_mode).createOrReplaceTempView(V_PAYMENT_HISTORY)
+    ledger(silver, excluded, params, null_mode, hot).createOrReplaceTempView(V_LEDGER)
+    gold(silver, excluded, params, null_mode, hot=hot).createOrReplaceTempView(V_GOLD)
 
 
 def weekly_scores(
@@ -55,25 +66,32 @@ def weekly_scores(
     return grade(spark.table(qualified(database, V_GOLD)), params, basis)
 
 
-def view_definitions(database: str, params: ScoreParams) -> dict[str, str]:
-    """View name -> SELECT text, in order of deployment."""
+def view_definitions(
+    database: str, params: ScoreParams, excluded: str | None = None, null_mode: str = "not_in", tasks: int = 200
+) -> dict[str, str]:
+    """View name -> SELECT text, in order of deployment. ``excluded`` names a table (default: the stored list);
+    the pairs of the last view are spelled out in ``tasks`` tasks."""
+    check_null_mode(null_mode)
     t = {name: qualified(database, name) for name in (*SILVER_TABLES, V_PAYMENT_HISTORY, V_LEDGER)}
-    excluded = qualified(database, T_BAD_MEMBERS_INTERNAL)
+    excluded = qualified(database, excluded or T_BAD_MEMBERS_INTERNAL)
 
     def not_listed(member: str) -> tuple[str, str]:
         """NOT IN as an anti join plus its NULL rules (a literal NOT IN would have to broadcast the list)."""
         join = f"LEFT ANTI JOIN {excluded} x ON x.member_id = {member}"
+        if null_mode == "ignore":
+            return join, "true"
         nulls = (
             f"(SELECT count_if(member_id IS NULL) FROM {excluded}) = 0 "
             f"AND ({member} IS NOT NULL OR (SELECT count(*) FROM {excluded}) = 0)"
         )
         return join, nulls
 
+    # As in `scoring.payment_history`, the list is applied to loans.
     join, nulls = not_listed("l.member_id")
     payment = (
-        f"SELECT l.member_id, {points.last_payment_points(params)} AS last_payment_pts, "
+        f"SELECT member_id, {points.last_payment_points(params)} AS last_payment_pts, "
         f"{points.total_payment_points(params)} AS total_payment_pts "
-        f"FROM {t[T_REPAYMENTS]} r JOIN {t[T_LOANS]} l ON r.loan_id = l.loan_id {join} WHERE {nulls}"
+        f"FROM {t[T_REPAYMENTS]} r JOIN (SELECT l.* FROM {t[T_LOANS]} l {join} WHERE {nulls}) k ON r.loan_id = k.loan_id"
     )
     join, nulls = not_listed("e.member_id")
     history = (
@@ -91,9 +109,10 @@ def view_definitions(database: str, params: ScoreParams) -> dict[str, str]:
         f"FROM {t[V_LEDGER]} GROUP BY ALL), "
         f"held AS (SELECT l.member_id, {points.financial_health_score(params)} AS financial_health_pts, "
         f"count(*) AS loans FROM {t[T_LOANS]} l JOIN {t[T_CUSTOMERS]} c ON l.member_id = c.member_id GROUP BY ALL) "
-        "SELECT member_id, payment_history_pts, defaulters_history_pts, financial_health_pts "
+        "SELECT member_id, payment_history_pts, defaulters_history_pts, financial_health_pts FROM ("
+        f"SELECT /*+ REPARTITION({tasks}, member_id, payment_history_pts, financial_health_pts, block) */ * "
         "FROM (SELECT paid.*, financial_health_pts, payments * loans AS n FROM paid JOIN held USING (member_id)) "
-        "LATERAL VIEW explode(sequence(0L, (n - 1) DIV 65536)) AS block "
-        "LATERAL VIEW explode(sequence(1L, least(65536L, n - block * 65536))) AS copy"
+        f"LATERAL VIEW explode(sequence(0L, (n - 1) DIV {REPEAT_BLOCK})) AS block) "
+        f"LATERAL VIEW explode(sequence(1L, least({REPEAT_BLOCK}L, n - block * {REPEAT_BLOCK}))) AS copy"
     )
     return {V_PAYMENT_HISTORY: payment, V_LEDGER: history, V_GOLD: pairs}

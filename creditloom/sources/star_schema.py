@@ -61,15 +61,15 @@ def loans_feed(orders: DataFrame) -> DataFrame:
 
 
 def repayments_feed(orders: DataFrame) -> DataFrame:
-    """Most loans have one repayment record; one in eleven has none."""
+    """One repayment record per order; one in eleven names a loan that does not exist, so that its loan has none."""
     share = (
         "CASE o_orderkey % 8 WHEN 0 THEN 0.25D WHEN 1 THEN 0.5D WHEN 2 THEN 0.75D WHEN 3 THEN 1D WHEN 4 THEN 1.25D "
         "WHEN 5 THEN 1.5D WHEN 6 THEN 2D ELSE 0D END"
     )
     principal = "o_totalprice * (o_orderkey % 10) / 10"
     day = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
-    return orders.filter("o_orderkey % 11 <> 3").selectExpr(
-        "CAST(o_orderkey AS STRING) AS loan_id",
+    return orders.selectExpr(
+        "CASE WHEN o_orderkey % 11 = 3 THEN concat('unknown-', o_orderkey) ELSE CAST(o_orderkey AS STRING) END AS loan_id",
         f"CAST({principal} AS FLOAT) AS total_rec_prncp",
         "CAST(o_orderkey % 100 AS FLOAT) AS total_rec_int",
         "CAST(o_orderkey % 4 AS FLOAT) AS total_rec_late_fee",

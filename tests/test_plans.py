@@ -67,7 +67,7 @@ def test_weekly_run_with_a_database(spark, feeds, database, tmp_path, rows):
     assert (counts["customers"].total, counts["customers"].success, counts["customers"].rejected) == (161, 138, 17)
     assert counts["customers"].unaccounted == counts["customers"].duplicates == 6
     assert counts["loans"].balanced and counts["loans"].total == 1500
-    assert (counts["repayments"].success, counts["repayments"].zero_total, counts["repayments"].balanced) == (1319, 10, False)
+    assert (counts["repayments"].success, counts["repayments"].zero_total, counts["repayments"].balanced) == (1452, 11, False)
     assert (counts["defaulters"].delinq, counts["defaulters"].rec_enq, counts["defaulters"].balanced) == (145, 154, None)
 
 
@@ -199,3 +199,16 @@ def test_reconciliation_sees_lost_rows(spark, feeds, tmp_path):
     lost = reconcile(feeds, silver.good | {"loans": silver.good["loans"].filter("loan_id <> '1'"), "loans_rejected": silver.rejected["loans"]})
     loans = lost.filter("feed = 'loans'").first()
     assert (loans.unaccounted, loans.balanced) == (1, False)
+
+
+def test_views_and_stored_scores_leave_out_the_same_members(spark, feeds, database, tmp_path, rows):
+    """A list from outside that holds a NULL, in both null modes."""
+    where = Locations.under(str(tmp_path))
+    listed = spark.createDataFrame([("1",), (None,)], "member_id string")
+    silver = run(feeds, where, database, schedule="weekly", null_mode="ignore", listed=listed).silver.good
+    for mode in ("ignore", "not_in"):
+        if mode == "not_in":
+            run_gold(silver, listed, where, database, schedule="WEEKLY", null_mode=mode)
+        weekly = spark.table(f"{database}.gold_loan_scores_weekly").drop("loan_final_grade")
+        assert rows(spark.table(f"{database}.view_gold_loan_score_realtime")) == rows(weekly)
+        assert weekly.isEmpty() == (mode == "not_in")
