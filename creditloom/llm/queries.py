@@ -14,6 +14,7 @@ from creditloom.llm.packing import pack
 from creditloom.llm.personal_data import personal_data
 from creditloom.llm.secrets import find_secrets
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
+from creditloom.llm.spelling import spelling_variants
 from creditloom.llm.substring_dedup import remove_repeats
 from creditloom.llm.token_output import read_tokens, write_tokens
 from creditloom.plans.tables import scratch_path
@@ -76,6 +77,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), shortest=5, least=3, factor=2, spoil=97)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
@@ -88,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op8_token_output": op8_token_output,
         "op9_neighbours": op9_neighbours,
         "op10_line_dedup": op10_line_dedup,
+        "op11_spelling": op11_spelling,
     }
 
 
