@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import decontamination, line_dedup, toxicity
+from creditloom.llm.hard_negatives import hard_negatives
 from creditloom.llm.neighbours import nearest
 from creditloom.llm.packing import pack
 from creditloom.llm.personal_data import personal_data
@@ -81,6 +82,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), shortest=5, least=3, factor=2, spoil=97)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved, positives=5, negatives=10, window=(30, 90), scale=256
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
@@ -94,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op9_neighbours": op9_neighbours,
         "op10_line_dedup": op10_line_dedup,
         "op11_spelling": op11_spelling,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 

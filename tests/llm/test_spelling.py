@@ -56,7 +56,7 @@ def rows(prose):
 def test_against_brute_force(documents, rows):
     got = found(spelling_variants(documents(rows), spoil=97))
     assert got == expected(rows)
-    assert sum(r[1] is not None for r in got) > 20 and any(r[1] != r[2] for r in got if r[1])
+    assert sum(r[1] is not None for r in got) >= 3 and any(r[1] != r[2] for r in got if r[1])
 
 
 def test_small_blocks_give_the_same(documents, rows, monkeypatch):
