@@ -103,6 +103,29 @@ def join_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
+#: Bits of a :func:`hash_bitmap`: 8 MB at every size of the data.
+BITMAP_BITS = 26
+
+
+def hash_bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """Which top ``BITMAP_BITS`` bits occur among 64-bit hashes, as one bitmap of a fixed size.
+
+    For keeping most rows without a partner out of a shuffle; it only ever lets too many through.
+    """
+    top = F.shiftrightunsigned(column, 64 - BITMAP_BITS)
+    parts = hashes.select(F.shiftrightunsigned(top, 15).alias("part"), (top % 32768).alias("bit"))
+    parts = parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).repartition(32)
+    whole = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
+    for row in parts.toLocalIterator():  # at most 2^BITMAP_BITS / 2^15 rows of 4 KB
+        whole[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return whole
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def roots(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Smallest member of each element's component under links ``left[i]`` - ``right[i]``."""
     root = np.arange(count)

@@ -17,6 +17,7 @@ from creditloom.llm.secrets import find_secrets
 from creditloom.llm.simhash import hex_fingerprint, simhash_groups
 from creditloom.llm.spelling import spelling_variants
 from creditloom.llm.substring_dedup import remove_repeats
+from creditloom.llm.suffix_dedup import remove_repeated_bytes
 from creditloom.llm.token_output import read_tokens, write_tokens
 from creditloom.plans.tables import scratch_path
 
@@ -82,6 +83,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), shortest=5, least=3, factor=2, spoil=97)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"), size=400, with_text=False)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(
@@ -102,6 +107,7 @@ def queries() -> dict[str, Query]:
         "op9_neighbours": op9_neighbours,
         "op10_line_dedup": op10_line_dedup,
         "op11_spelling": op11_spelling,
+        "op12_suffix_dedup": op12_suffix_dedup,
         "op13_hard_negatives": op13_hard_negatives,
     }
 
