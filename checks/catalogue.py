@@ -25,7 +25,7 @@ from creditloom.operators import (
 )
 from creditloom.operators.quality import INGESTED
 from creditloom.operators.skew import hot_keys
-from creditloom.plans import WEEKLY, Locations, run
+from creditloom.plans import DAILY, WEEKLY, Locations, run
 from creditloom.plans.tables import scratch_path
 from creditloom.sources import read_feed, star_feeds
 from creditloom.sources.schemas import (
@@ -103,19 +103,46 @@ def _csv_copy(spark: SparkSession, directory: str, feed: str) -> DataFrame:
     return read_feed(spark, feed, path, fmt="csv")
 
 
-def _batch(result: Callable[[SparkSession, str], DataFrame]) -> Query:
-    """Run the weekly batch job into a database of its own, then read one of its tables or views."""
+def _batch(
+    result: Callable[[SparkSession, str], DataFrame],
+    feeds: Callable[[SparkSession, str], dict[str, DataFrame]] = star_feeds,
+    schedule: str = WEEKLY,
+    **options,
+) -> Query:
+    """Run the batch job into a database of its own, then read one of its tables or views."""
 
     def query(spark: SparkSession, directory: str) -> DataFrame:
         root = scratch_path(spark, "batch")
         database = f"creditloom_{uuid.uuid4().hex[:12]}"
         spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/catalog'")
-        run(star_feeds(spark, directory), Locations.under(root), database, schedule=WEEKLY)
+        run(feeds(spark, directory), Locations.under(root), database, schedule=schedule, **options)
         return _plain(result(spark, database))
 
     return query
 
 
+#: The member that holds half of all loans in the skewed feeds.
+HOT_MEMBER = "13"
+
+
+def skewed_feeds(spark: SparkSession, directory: str, paid: bool = True) -> dict[str, DataFrame]:
+    """The feeds with one more loan for each loan, all of one member, and with ``paid`` one more repayment for each repayment."""
+    feeds = star_feeds(spark, directory)
+    extra = F.concat(F.lit("extra-"), F.col("loan_id"))
+    more = feeds["loans"].withColumns({"loan_id": extra, "member_id": F.lit(HOT_MEMBER)})
+    feeds["loans"] = feeds["loans"].unionByName(more)
+    if paid:
+        feeds["repayments"] = feeds["repayments"].unionByName(feeds["repayments"].withColumn("loan_id", extra))
+    return feeds
+
+
+def _skewed_loan_grain(spark: SparkSession, directory: str) -> DataFrame:
+    feeds = skewed_feeds(spark, directory)
+    tables = silver(feeds)
+    hot = hot_keys([feeds[f] for f in ("loans", "customers", "defaulters")], "member_id")
+    return _plain(gold(tables, bad_members(tables), grain="loan", hot=hot))
+
+
 def queries() -> dict[str, Query]:
     named: dict[str, Query] = {
         "silver_customers": _cleansed("customers", clean_customers, "good"),
@@ -146,6 +173,11 @@ def queries() -> dict[str, Query]:
     named["batch_weekly_table"] = _batch(lambda spark, database: spark.table(f"{database}.{T_GOLD_WEEKLY}"))
     named["batch_gold_view"] = _batch(lambda spark, database: spark.table(f"{database}.{V_GOLD}"))
     named["batch_ledger_view"] = _batch(lambda spark, database: spark.table(f"{database}.{V_LEDGER}"))
+    named["skewed_gold_view"] = _batch(
+        lambda spark, database: spark.table(f"{database}.{V_GOLD}"), lambda s, d: skewed_feeds(s, d, paid=False), DAILY
+    )
+    named["skewed_ledger_view"] = _batch(lambda spark, database: spark.table(f"{database}.{V_LEDGER}"), skewed_feeds, DAILY)
+    named["skewed_gold_loan_grain"] = _skewed_loan_grain
     for name, column in {
         "status_points": "loan_status_pts",
         "ownership_points": "home_ownership_pts",

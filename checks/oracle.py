@@ -192,11 +192,12 @@ _GOLD = """
 _CTES.append(("gold_rows", _GOLD.format(extra="", also="")))
 
 
-def _with(select: str) -> str:
-    """Prefix the CTEs that ``select`` needs, found from the back so that unused ones are left out."""
+def _with(select: str, **others: str) -> str:
+    """Prefix the CTEs that ``select`` needs, found from the back so that unused ones are left out; ``others`` replace bodies."""
     needed, text = [], select
     for name, body in reversed(_CTES):
         if name in text:
+            body = others.get(name, body)
             needed.append(f"{name} AS ({body})")
             text += body
     return "WITH " + ",\n".join(reversed(needed)) + "\n" + select
@@ -275,4 +276,12 @@ def oracle_sql() -> dict[str, str]:
         "batch_gold_view": "SELECT * FROM gold_rows",
         "batch_ledger_view": "SELECT * EXCLUDE (loan_id) FROM ledger_rows",
     }
-    return {name: _with(text) for name, text in statements.items()}
+    plain = {name: _with(text) for name, text in statements.items()}
+    bodies = dict(_CTES)
+    more_loans = bodies["raw_loans"] + " UNION ALL SELECT * REPLACE ('extra-' || loan_id AS loan_id, '13' AS member_id) FROM (" + bodies["raw_loans"] + ")"
+    more_paid = bodies["raw_repayments"] + " UNION ALL SELECT * REPLACE ('extra-' || loan_id AS loan_id) FROM (" + bodies["raw_repayments"] + ")"
+    return plain | {
+        "skewed_gold_view": _with(statements["batch_gold_view"], raw_loans=more_loans),
+        "skewed_ledger_view": _with(statements["batch_ledger_view"], raw_loans=more_loans, raw_repayments=more_paid),
+        "skewed_gold_loan_grain": _with(statements["gold_loan_grain"], raw_loans=more_loans, raw_repayments=more_paid),
+    }

@@ -38,11 +38,19 @@ LEDGER_COLUMNS = (
 GOLD_COLUMNS = (MEMBER, "payment_history_pts", "defaulters_history_pts", "financial_health_pts")
 
 
-def _repaid_loans(silver: Silver, params: ScoreParams, *loan_columns: str) -> DataFrame:
-    """Repayments joined to their loans, with both payment scores. Loans without repayments drop out."""
+def _repaid_loans(silver: Silver, params: ScoreParams, *loan_columns: str, hot_loans: HotKeys | None = None) -> DataFrame:
+    """Repayments joined to their loans, with both payment scores. Loans without repayments drop out.
+
+    With ``hot_loans``, like repayments of a loan become one row with their number, and those of a hot loan are cut into
+    slices; number and slice stay in the result.
+    """
     loans = silver[T_LOANS].select(LOAN, MEMBER, "funded_amount", "monthly_installment", *loan_columns)
     paid = silver[T_REPAYMENTS].select(LOAN, "last_payment_amount", "total_payment_received")
-    return paid.join(loans, LOAN).withColumns(
+    if hot_loans:
+        paid = paid.groupBy(*paid.columns).agg(F.count(F.lit(1)).alias(ROW_COUNT))
+        paid = spread(paid, LOAN, hot_loans, "last_payment_amount", "total_payment_received")
+        loans = replicate(loans, LOAN, hot_loans)
+    return paid.join(loans, slice_key(LOAN, hot_loans or {})).withColumns(
         {
             "last_payment_pts": F.expr(points.last_payment_points(params)),
             "total_payment_pts": F.expr(points.total_payment_points(params)),
@@ -158,13 +166,14 @@ def gold(
     grain: str = "member",
     weighted: bool = False,
     hot: HotKeys | None = None,
+    hot_loans: HotKeys | None = None,
 ) -> DataFrame:
     """The three scores of every member.
 
     ``grain="member"`` pairs each scored repayment with each loan of the member; ``grain="loan"`` scores a repayment
     with its own loan only and adds ``loan_id``. ``weighted=True`` returns distinct rows with a ``row_count`` in place
-    of repeated rows (same content, bounded size per member). ``hot`` takes the result of :func:`hot_members`; by
-    default it is computed here.
+    of repeated rows (same content, bounded size per member). ``hot`` takes the result of :func:`hot_members`, and
+    ``hot_loans``, for the loan grain, those of the repayments' loans; by default both are computed here.
     """
     if grain not in ("member", "loan"):
         raise ValueError(f"grain must be 'member' or 'loan', not {grain!r}")
@@ -180,9 +189,19 @@ def gold(
     n = F.count(F.lit(1))
 
     if grain == "loan":
-        repaid = members.spread(_repaid_loans(silver, params, "loan_status"))
-        scored = repaid.join(people, members.on).withColumns(scores).select(LOAN, MEMBER, paid_score, *scores)
-        return scored.groupBy(*scored.columns).agg(n.alias(ROW_COUNT)) if weighted else scored
+        # Repayments are counted by loan and score before they meet their member, so that a member is no hotter here than in
+        # the table of loans. As counting needs no shuffle after the join, hot loans are cut into slices beforehand.
+        if hot_loans is None:
+            hot_loans = hot_keys([silver[T_REPAYMENTS]], LOAN)
+        repaid = _repaid_loans(silver, params, "loan_status", hot_loans=hot_loans)
+        keys = [LOAN, MEMBER, "funded_amount", "loan_status", "last_payment_pts", "total_payment_pts"]
+        times = F.sum(ROW_COUNT) if hot_loans else n
+        counted = repaid.groupBy(*slice_key(LOAN, hot_loans), *keys[1:]).agg(times.alias(ROW_COUNT)).select(*keys, ROW_COUNT)
+        scored = members.spread(counted, LOAN, "last_payment_pts", "total_payment_pts").join(people, members.on)
+        scored = scored.withColumns(scores).select(LOAN, MEMBER, paid_score, *scores, ROW_COUNT)
+        if weighted:
+            return scored.groupBy(*scored.columns[:-1]).agg(F.sum(ROW_COUNT).alias(ROW_COUNT))
+        return repeat_rows(scored, ROW_COUNT).drop(ROW_COUNT)
 
     # Payments of a member as distinct scores: partial counts are taken before the shuffle.
     paid = _repaid_loans(silver, params).groupBy(MEMBER, paid_score).agg(n.alias("_payments"))

@@ -48,6 +48,53 @@ def hot_keys(frames: Iterable[DataFrame], key: str, parallelism: int | None = No
     return {row["item"]: int(row["slices"]) for row in hot.collect()}
 
 
+def hot_keys_sql(source: str, key: str, parallelism: int) -> str:
+    """:func:`hot_keys` as a query text over the table ``source``, with the columns ``key`` and ``slices``.
+
+    For persistent views, which find their hot keys anew each time they are read; at most ``parallelism / 2`` rows.
+    """
+    tracked = min(_MAX_TRACKED, 10 * parallelism)
+    sketches = (
+        f"SELECT _group, approx_top_k_accumulate({key}, {tracked}) AS sketch, count(*) AS n "
+        f"FROM (SELECT {key}, spark_partition_id() % {isqrt(parallelism)} AS _group FROM {source} WHERE {key} IS NOT NULL) "
+        "GROUP BY _group"
+    )
+    merged = (
+        f"SELECT approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {min(parallelism, tracked)}) AS top, "
+        f"sum(n) AS n_rows FROM ({sketches}) GROUP BY sketch IS NULL"  # one group, or none without rows
+    )
+    return (
+        f"SELECT _t.item AS {key}, CAST(ceil(_t.count * {parallelism} / n_rows) AS INT) AS slices "
+        f"FROM ({merged}) LATERAL VIEW inline(top) _t AS item, count WHERE _t.count * {parallelism} / n_rows > {_HOT}"
+    )
+
+
+def spread_sql(source: str, key: str, hot: str, by: str) -> str:
+    """:func:`spread` as a query text; ``hot`` names a relation like that of :func:`hot_keys_sql`."""
+    salt = f"coalesce(CAST(pmod(xxhash64(spark_partition_id(), _l.{by}), _h.slices) AS INT), 0)"
+    return f"SELECT /*+ BROADCAST(_h) */ _l.*, {salt} AS {SLICE} FROM {source} _l LEFT JOIN {hot} _h ON _l.{key} = _h.{key}"
+
+
+def replicate_sql(source: str, key: str, hot: str) -> str:
+    """:func:`replicate` as a query text."""
+    return (
+        f"SELECT /*+ BROADCAST(_h) */ _l.*, _s.{SLICE} FROM {source} _l LEFT JOIN {hot} _h ON _l.{key} = _h.{key} "
+        f"LATERAL VIEW explode(sequence(0, coalesce(_h.slices, 1) - 1)) _s AS {SLICE}"
+    )
+
+
+def repeat_rows_sql(source: str, columns: str, times: str, tasks: int, block: int = REPEAT_BLOCK) -> str:
+    """:func:`repeat_rows` as a query text: ``columns`` of ``source``, each row ``times`` times, dealt to ``tasks`` tasks."""
+    dealt = (
+        f"SELECT /*+ REPARTITION({tasks}, {columns}, _block) */ * "
+        f"FROM {source} LATERAL VIEW explode(sequence(0L, ({times} - 1) DIV {block})) _b AS _block"
+    )
+    return (
+        f"SELECT {columns} FROM ({dealt}) "
+        f"LATERAL VIEW explode(sequence(1L, least({block}L, {times} - _block * {block}))) _c AS _copy"
+    )
+
+
 def listed(keys: DataFrame, key: str, hot: HotKeys) -> set[str]:
     """Which of the hot keys occur in the frame ``keys`` (at most ``len(hot)`` values reach the driver)."""
     if not hot:

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from creditloom.operators import points
 from creditloom.operators.keys import check_null_mode
 from creditloom.operators.points import ScoreParams
-from creditloom.operators.scoring import gold, grade, hot_members, ledger, payment_history
-from creditloom.operators.skew import REPEAT_BLOCK, HotKeys
+from creditloom.operators.scoring import GOLD_COLUMNS, LEDGER_COLUMNS, LOAN, gold, grade, hot_members, ledger, payment_history
+from creditloom.operators.skew import SLICE, HotKeys, hot_keys_sql, repeat_rows_sql, replicate_sql, spread_sql
 from creditloom.plans.tables import qualified
 from creditloom.sources.schemas import (
     SILVER_TABLES,
@@ -69,15 +69,17 @@ def weekly_scores(
 def view_definitions(
     database: str, params: ScoreParams, excluded: str | None = None, null_mode: str = "not_in", tasks: int = 200
 ) -> dict[str, str]:
-    """View name -> SELECT text, in order of deployment. ``excluded`` names a table (default: the stored list);
-    the pairs of the last view are spelled out in ``tasks`` tasks."""
+    """View name -> SELECT text, in order of deployment. ``excluded`` names a table (default: the stored list).
+
+    ``tasks`` is what a member's share of the rows is measured by; rows are also spelled out in as many tasks. Both hold
+    however the tables change after deployment."""
     check_null_mode(null_mode)
     t = {name: qualified(database, name) for name in (*SILVER_TABLES, V_PAYMENT_HISTORY, V_LEDGER)}
     excluded = qualified(database, excluded or T_BAD_MEMBERS_INTERNAL)
 
-    def not_listed(member: str) -> tuple[str, str]:
+    def not_listed(member: str, listed: str, *also: str) -> tuple[str, str]:
         """NOT IN as an anti join plus its NULL rules (a literal NOT IN would have to broadcast the list)."""
-        join = f"LEFT ANTI JOIN {excluded} x ON x.member_id = {member}"
+        join = f"LEFT ANTI JOIN {listed} x ON " + " AND ".join([f"x.member_id = {member}", *also])
         if null_mode == "ignore":
             return join, "true"
         nulls = (
@@ -86,33 +88,41 @@ def view_definitions(
         )
         return join, nulls
 
+    # Members that hold a large share of the loans are found when the view is read; their loans are cut into slices,
+    # and what meets them by member is copied to each slice.
+    hot = f"hot AS ({hot_keys_sql(t[T_LOANS], 'member_id', tasks)}), sliced AS ({spread_sql(t[T_LOANS], 'member_id', 'hot', LOAN)})"
+
     # As in `scoring.payment_history`, the list is applied to loans.
-    join, nulls = not_listed("l.member_id")
+    join, nulls = not_listed("l.member_id", f"({replicate_sql(excluded, 'member_id', 'hot')})", f"x.{SLICE} = l.{SLICE}")
     payment = (
+        f"WITH {hot}, kept AS (SELECT l.* FROM sliced l {join} WHERE {nulls}) "
         f"SELECT member_id, {points.last_payment_points(params)} AS last_payment_pts, "
         f"{points.total_payment_points(params)} AS total_payment_pts "
-        f"FROM {t[T_REPAYMENTS]} r JOIN (SELECT l.* FROM {t[T_LOANS]} l {join} WHERE {nulls}) k ON r.loan_id = k.loan_id"
+        f"FROM {t[T_REPAYMENTS]} r JOIN kept k ON r.loan_id = k.loan_id"
     )
-    join, nulls = not_listed("e.member_id")
-    history = (
-        f"SELECT p.*, {points.delinquency_points(params)} AS delinq_pts, "
-        f"{points.public_record_points(params)} AS public_records_pts, "
-        f"{points.bankruptcy_points(params)} AS public_bankruptcies_pts, "
-        f"{points.enquiry_points(params)} AS enq_pts "
-        f"FROM {t[T_REC_ENQ]} e JOIN {t[T_DELINQ]} d ON e.member_id = d.member_id "
-        f"JOIN {t[V_PAYMENT_HISTORY]} p ON e.member_id = p.member_id {join} WHERE {nulls}"
+    # Every side is counted by its points before the members meet, so that a member has a handful of rows in the joins.
+    join, nulls = not_listed("e.member_id", excluded)
+    ledger_columns = ", ".join(LEDGER_COLUMNS)
+    counted = (
+        f"paid AS (SELECT member_id, last_payment_pts, total_payment_pts, count(*) AS payments FROM {t[V_PAYMENT_HISTORY]} GROUP BY ALL), "
+        f"late AS (SELECT member_id, {points.delinquency_points(params)} AS delinq_pts, count(*) AS lates FROM {t[T_DELINQ]} GROUP BY ALL), "
+        f"records AS (SELECT member_id, {points.public_record_points(params)} AS public_records_pts, "
+        f"{points.bankruptcy_points(params)} AS public_bankruptcies_pts, {points.enquiry_points(params)} AS enq_pts, "
+        f"count(*) AS records FROM {t[T_REC_ENQ]} GROUP BY ALL), "
+        "history AS (SELECT p.*, delinq_pts, public_records_pts, public_bankruptcies_pts, enq_pts, payments * lates * records AS n "
+        "FROM records e JOIN late d ON e.member_id = d.member_id JOIN paid p ON e.member_id = p.member_id "
+        f"{join} WHERE {nulls})"
     )
+    history = f"WITH {counted} {repeat_rows_sql('history', ledger_columns, 'n', tasks)}"
     # As in `scoring.gold`, pairs of payments and loans are counted first and spelled out last.
     pairs = (
-        f"WITH paid AS (SELECT member_id, {points.payment_history_score()} AS payment_history_pts, "
-        f"{points.defaulters_history_score()} AS defaulters_history_pts, count(*) AS payments "
-        f"FROM {t[V_LEDGER]} GROUP BY ALL), "
-        f"held AS (SELECT l.member_id, {points.financial_health_score(params)} AS financial_health_pts, "
-        f"count(*) AS loans FROM {t[T_LOANS]} l JOIN {t[T_CUSTOMERS]} c ON l.member_id = c.member_id GROUP BY ALL) "
-        "SELECT member_id, payment_history_pts, defaulters_history_pts, financial_health_pts FROM ("
-        f"SELECT /*+ REPARTITION({tasks}, member_id, payment_history_pts, financial_health_pts, block) */ * "
-        "FROM (SELECT paid.*, financial_health_pts, payments * loans AS n FROM paid JOIN held USING (member_id)) "
-        f"LATERAL VIEW explode(sequence(0L, (n - 1) DIV {REPEAT_BLOCK})) AS block) "
-        f"LATERAL VIEW explode(sequence(1L, least({REPEAT_BLOCK}L, n - block * {REPEAT_BLOCK}))) AS copy"
+        f"WITH {hot}, {counted}, "
+        f"scored AS (SELECT member_id, {points.payment_history_score()} AS payment_history_pts, "
+        f"{points.defaulters_history_score()} AS defaulters_history_pts, sum(n) AS payments FROM history GROUP BY ALL), "
+        f"people AS ({replicate_sql(t[T_CUSTOMERS], 'member_id', 'hot')}), "
+        f"held AS (SELECT l.member_id, l.{SLICE}, {points.financial_health_score(params)} AS financial_health_pts, count(*) AS loans "
+        f"FROM sliced l JOIN people c ON l.member_id = c.member_id AND l.{SLICE} = c.{SLICE} GROUP BY ALL), "
+        "pairs AS (SELECT scored.*, financial_health_pts, scored.payments * loans AS n FROM scored JOIN held USING (member_id)) "
+        + repeat_rows_sql("pairs", ", ".join(GOLD_COLUMNS), "n", tasks)
     )
     return {V_PAYMENT_HISTORY: payment, V_LEDGER: history, V_GOLD: pairs}

@@ -1,5 +1,7 @@
+import json
 import os
 import sys
+import time
 
 import pytest
 from pyspark.sql import SparkSession
@@ -21,6 +23,10 @@ def spark(tmp_path_factory):
         .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", f"file://{tmp_path_factory.mktemp('events')}")
+        .config("spark.eventLog.compress", "false")
+        .config("spark.eventLog.rolling.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -32,3 +38,30 @@ def spark(tmp_path_factory):
 def rows():
     """Collect as a sorted list of plain tuples (NULLs sort as text)."""
     return lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="session")
+def shuffled_rows(spark):
+    """``shuffled_rows(action)``: for each stage that ``action`` runs, the rows that its tasks read from shuffles."""
+    folder = spark.conf.get("spark.eventLog.dir").removeprefix("file://")
+
+    def events():
+        for name in os.listdir(folder):
+            with open(f"{folder}/{name}") as file:
+                yield from filter(None, map(str.strip, file))
+
+    def measure(action):
+        known = sum(1 for _ in events())
+        action()
+        spark.range(1).selectExpr("'the end' AS x").count()
+        stages, seen = {}, -1
+        while seen != (seen := sum(1 for _ in events())):
+            time.sleep(1)  # the log is written behind the jobs
+        for line in list(events())[known:]:
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
+                read = event["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"]
+                stages.setdefault(event["Stage ID"], []).append(read)
+        return [tasks for tasks in stages.values() if sum(tasks)]
+
+    return measure
