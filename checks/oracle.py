@@ -3,20 +3,39 @@
 from __future__ import annotations
 
 from checks.feeds_sql import FEED_SQL
-from creditloom.sources.schemas import CUSTOMER_RENAMES, FEEDS
 
 
-def _feed(name: str, renames: dict[str, str]) -> str:
-    columns = ", ".join(f"{c} AS {renames.get(c, c)}" for c in FEEDS[name][0].names)
-    return f"SELECT {columns} FROM ({FEED_SQL[name]})"
+# --- fixed values: feed columns in their order, and the names under which they are published ---
+
+_CUSTOMERS = """member_id, emp_title, emp_length, home_ownership, annual_inc, addr_state, zip_code, country, grade, sub_grade,
+    verification_status, tot_hi_cred_lim, application_type, annual_inc_joint, verification_status_joint"""
+_CUSTOMERS_RENAMED = """member_id, emp_title, emp_length, home_ownership, annual_inc AS annual_income, addr_state AS address_state,
+    zip_code AS address_zipcode, country AS address_country, grade, sub_grade, verification_status,
+    tot_hi_cred_lim AS total_high_credit_limit, application_type, annual_inc_joint AS join_annual_income, verification_status_joint"""
+_LOANS = """loan_id, member_id, loan_amnt AS loan_amount, funded_amnt AS funded_amount, term AS loan_term_months,
+    int_rate AS interest_rate, installment AS monthly_installment, issue_d AS issue_date, loan_status, purpose AS loan_purpose,
+    title AS loan_title"""
+_REPAYMENTS = """loan_id, total_rec_prncp AS total_principal_received, total_rec_int AS total_interest_received,
+    total_rec_late_fee AS total_late_fee_received, total_pymnt AS total_payment_received, last_pymnt_amnt AS last_payment_amount,
+    last_pymnt_d AS last_payment_date, next_pymnt_d AS next_payment_date"""
+_DEFAULTERS = """member_id, delinq_2yrs, delinq_amnt, pub_rec, pub_rec_bankruptcies, inq_last_6mths, total_rec_late_fee,
+    mths_since_last_delinq, mths_since_last_record"""
+
+
+def _int(number: str) -> str:
+    """Float to int towards zero: NaN becomes 0, what is beyond the int range stops at its ends."""
+    return (
+        f"CASE WHEN isnan({number}) THEN 0 WHEN {number} >= 2147483647 THEN 2147483647 WHEN {number} <= -2147483648 "
+        f"THEN -2147483648 ELSE TRY_CAST(trunc({number}) AS INTEGER) END"
+    )
 
 
 _CTES: list[tuple[str, str]] = [
-    ("read_customers", _feed("customers", {})),
-    ("raw_customers", _feed("customers", CUSTOMER_RENAMES)),
-    ("raw_loans", _feed("loans", FEEDS["loans"][1])),
-    ("raw_repayments", _feed("repayments", FEEDS["repayments"][1])),
-    ("raw_defaulters", _feed("defaulters", {})),
+    ("read_customers", f"SELECT {_CUSTOMERS} FROM ({FEED_SQL['customers']})"),
+    ("raw_customers", f"SELECT {_CUSTOMERS_RENAMED} FROM ({FEED_SQL['customers']})"),
+    ("raw_loans", f"SELECT {_LOANS} FROM ({FEED_SQL['loans']})"),
+    ("raw_repayments", f"SELECT {_REPAYMENTS} FROM ({FEED_SQL['repayments']})"),
+    ("raw_defaulters", f"SELECT {_DEFAULTERS} FROM ({FEED_SQL['defaulters']})"),
     (
         "customers_numbered",
         """
@@ -98,18 +117,18 @@ _CTES: list[tuple[str, str]] = [
     ),
     (
         "delinq",
-        """
-        SELECT member_id, coalesce(CAST(trunc(delinq_2yrs) AS INTEGER), 0) AS delinq_2yrs, delinq_amnt,
-               CAST(trunc(mths_since_last_delinq) AS INTEGER) AS mths_since_last_delinq
-        FROM raw_defaulters WHERE trunc(coalesce(delinq_2yrs, 0)) > 0 OR mths_since_last_delinq > 0
+        f"""
+        SELECT member_id, coalesce({_int('delinq_2yrs')}, 0) AS delinq_2yrs, delinq_amnt,
+               {_int('mths_since_last_delinq')} AS mths_since_last_delinq
+        FROM raw_defaulters WHERE {_int('delinq_2yrs')} > 0 OR mths_since_last_delinq > 0
         """,
     ),
     (
         "rec_enq",
-        """
-        SELECT member_id, coalesce(CAST(trunc(pub_rec) AS INTEGER), 0) AS pub_rec,
-               coalesce(CAST(trunc(pub_rec_bankruptcies) AS INTEGER), 0) AS pub_rec_bankruptcies,
-               coalesce(CAST(trunc(inq_last_6mths) AS INTEGER), 0) AS inq_last_6mths
+        f"""
+        SELECT member_id, coalesce({_int('pub_rec')}, 0) AS pub_rec,
+               coalesce({_int('pub_rec_bankruptcies')}, 0) AS pub_rec_bankruptcies,
+               coalesce({_int('inq_last_6mths')}, 0) AS inq_last_6mths
         FROM raw_defaulters
         """,
     ),
@@ -280,7 +299,56 @@ def oracle_sql() -> dict[str, str]:
     bodies = dict(_CTES)
     more_loans = bodies["raw_loans"] + " UNION ALL SELECT * REPLACE ('extra-' || loan_id AS loan_id, '13' AS member_id) FROM (" + bodies["raw_loans"] + ")"
     more_paid = bodies["raw_repayments"] + " UNION ALL SELECT * REPLACE ('extra-' || loan_id AS loan_id) FROM (" + bodies["raw_repayments"] + ")"
-    return plain | {
+    # The odd feeds: NULL members, NaN, fractions, numbers beyond the int range.
+    odd = {
+        "raw_customers": "SELECT * REPLACE (CASE WHEN CAST(member_id AS BIGINT) % 40 <> 6 THEN member_id END AS member_id) "
+        f"FROM ({bodies['raw_customers']})",
+        "raw_loans": "SELECT * REPLACE (CASE WHEN CAST(member_id AS BIGINT) % 45 <> 11 THEN member_id END AS member_id) "
+        f"FROM ({bodies['raw_loans']})",
+        "raw_repayments": f"""
+            SELECT * EXCLUDE (k) REPLACE (
+                CASE WHEN k % 23 = 4 THEN CAST('NaN' AS FLOAT) ELSE total_interest_received END AS total_interest_received,
+                CASE WHEN k % 29 = 7 THEN CAST('NaN' AS FLOAT) ELSE last_payment_amount END AS last_payment_amount)
+            FROM (SELECT *, CAST(replace(loan_id, 'unknown-', '') AS BIGINT) AS k FROM ({bodies['raw_repayments']}))""",
+        "raw_defaulters": f"""
+            SELECT * EXCLUDE (k) REPLACE (
+                CASE WHEN k % 50 <> 7 THEN member_id END AS member_id,
+                CASE WHEN k % 14 = 3 THEN CAST(delinq_2yrs + 0.5 AS FLOAT) WHEN k % 53 = 13 THEN CAST(1e20 AS FLOAT)
+                     ELSE delinq_2yrs END AS delinq_2yrs,
+                CASE WHEN k % 37 = 21 THEN CAST('NaN' AS FLOAT) ELSE mths_since_last_delinq END AS mths_since_last_delinq,
+                CASE WHEN k % 29 = 5 THEN CAST('NaN' AS FLOAT) ELSE pub_rec END AS pub_rec,
+                CASE WHEN k % 31 = 8 THEN CAST(-3e9 AS FLOAT) ELSE inq_last_6mths END AS inq_last_6mths)
+            FROM (SELECT *, CAST(member_id AS BIGINT) AS k FROM ({bodies['raw_defaulters']}))""",
+    }
+    known = bodies["bad_members"] + " EXCEPT SELECT NULL"
+    outside = "SELECT CAST(c_custkey AS VARCHAR) AS member_id FROM customer WHERE c_custkey % 6 = 1"
+    broken = "CAST(loan_id AS BIGINT) % 19 = 5 OR CAST(loan_id AS BIGINT) % 23 = 3 OR CAST(loan_id AS BIGINT) % 31 = 7"
+    feeds = {f"parquet_feed_{name}": plain[f"csv_roundtrip_{name}"] for name in ("customers", "loans", "repayments", "defaulters")}
+    return plain | feeds | {
+        "odd_delinquencies": _with(statements["delinquencies"], **odd),
+        "odd_records_enquiries": _with(statements["records_enquiries"], **odd),
+        "odd_silver_repayments": _with(statements["silver_repayments"], **odd),
+        "odd_bad_members": _with(statements["bad_members"], **odd),
+        "odd_clean_members_not_in": _with(statements["clean_members_not_in"], **odd),
+        "odd_clean_members_ignore_nulls": _with(
+            "SELECT * FROM rec_enq c WHERE NOT EXISTS (SELECT 1 FROM bad_members b WHERE b.member_id = c.member_id)", **odd
+        ),
+        "odd_reconciliation": _with(statements["reconciliation"], **odd),
+        "batch_gold_view_null_list": _with(statements["batch_gold_view"], **odd),
+        "batch_gold_view_ignore_nulls": _with(statements["batch_gold_view"], **odd, bad_members=known),
+        "batch_external_list": _with(statements["batch_weekly_table"], bad_members=outside),
+        "batch_external_list_view": _with(statements["batch_ledger_view"], bad_members=outside),
+        "batch_managed_customers": plain["silver_customers"],
+        "batch_ingest_stamps": _with("""
+            SELECT 'customers' AS stored, true AS stamped, count(*) AS n FROM customers
+            UNION ALL SELECT 'loans', true, count(*) FROM loans
+            UNION ALL SELECT 'loans_repayments', true, count(*) FROM repayments"""),
+        "injected_ingest_time": _with("SELECT loan_id, '2024-02-03 04:05:06' AS ingested FROM raw_loans"),
+        "malformed_csv_rejects": _with(f"""
+            SELECT loan_id, CASE WHEN {broken} THEN 'Malformed row' ELSE reject_reason END AS reject_reason,
+                   CASE WHEN {broken} THEN loan_id END AS raw_id
+            FROM raw_loans LEFT JOIN (SELECT loan_id, reject_reason FROM rejected_loans) r USING (loan_id)
+            WHERE {broken} OR reject_reason IS NOT NULL"""),
         "skewed_gold_view": _with(statements["batch_gold_view"], raw_loans=more_loans),
         "skewed_ledger_view": _with(statements["batch_ledger_view"], raw_loans=more_loans, raw_repayments=more_paid),
         "skewed_gold_loan_grain": _with(statements["gold_loan_grain"], raw_loans=more_loans, raw_repayments=more_paid),

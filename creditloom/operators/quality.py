@@ -24,6 +24,12 @@ def quality_gate(df: DataFrame, is_bad: Column, reason: str) -> SplitResult:
     return SplitResult(df.filter(~is_bad), df.filter(is_bad).withColumn(REASON, F.lit(reason)))
 
 
+def isolate_corrupt(df: DataFrame, column: str, reason: str) -> SplitResult:
+    """Split off rows that the reader could not parse, told by the raw text it kept in ``column``. They keep that text."""
+    broken = F.col(column).isNotNull()
+    return SplitResult(df.filter(~broken).drop(column), df.filter(broken).withColumn(REASON, F.lit(reason)))
+
+
 def stamp(df: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
     """Add the ingest time. Pass a fixed ``ingest_ts`` to get one value over several writes of one run."""
     return df.withColumn(INGESTED, F.current_timestamp() if ingest_ts is None else ingest_ts)

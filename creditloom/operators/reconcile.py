@@ -23,12 +23,16 @@ def _row(feed: str, counted: DataFrame, **counts: Column) -> DataFrame:
     return counted.agg(*aggregates).withColumns({"feed": F.lit(feed), **missing}).select("feed", *COUNTS)
 
 
-def count_customers(raw: DataFrame, stored: Column | None = None) -> DataFrame:
+def _broken(corrupt_column: str | None) -> Column:
+    return F.col(corrupt_column).isNotNull() if corrupt_column else F.lit(False)
+
+
+def count_customers(raw: DataFrame, stored: Column | None = None, corrupt_column: str | None = None) -> DataFrame:
     """Identical rows are grouped with their number, so one aggregation yields total, duplicates and rejects.
 
     With ``stored``, the number of rows kept, no rows are grouped: what passed the gate and was not kept is a copy.
     """
-    named, bad = raw.withColumnsRenamed(CUSTOMER_RENAMES), any_null(*CUSTOMER_MANDATORY)
+    named, bad = raw.withColumnsRenamed(CUSTOMER_RENAMES), any_null(*CUSTOMER_MANDATORY) | _broken(corrupt_column)
     if stored is not None:
         passed = F.count_if(~bad)
         total, rejected = F.count(F.lit(1)), F.count_if(bad)
@@ -45,14 +49,14 @@ def count_customers(raw: DataFrame, stored: Column | None = None) -> DataFrame:
     )
 
 
-def count_loans(raw: DataFrame) -> DataFrame:
-    bad = any_null(*LOAN_MANDATORY)
+def count_loans(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+    bad = any_null(*LOAN_MANDATORY) | _broken(corrupt_column)
     return _row("loans", raw, total=F.count(F.lit(1)), success=F.count_if(~bad), rejected=F.count_if(bad))
 
 
-def count_repayments(raw: DataFrame) -> DataFrame:
-    amounts = raw.select(*REPAYMENT_MANDATORY)
-    missing, nan = any_null(*REPAYMENT_MANDATORY), any_nan(*REPAYMENT_MANDATORY)
+def count_repayments(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+    amounts = raw.select(*REPAYMENT_MANDATORY, *([corrupt_column] if corrupt_column else []))
+    missing, nan = any_null(*REPAYMENT_MANDATORY) | _broken(corrupt_column), any_nan(*REPAYMENT_MANDATORY)
     usable = ~missing & ~nan
     paid = F.col("total_payment_received") != 0.0
     return _row(
@@ -66,27 +70,31 @@ def count_repayments(raw: DataFrame) -> DataFrame:
     )
 
 
-def count_defaulters(raw: DataFrame) -> DataFrame:
+def count_defaulters(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
     """The two defaulter tables overlap, so their sizes are shown without a balance check."""
-    every = F.count(F.lit(1))
-    return _row("defaulters", raw, total=every, delinq=F.count_if(is_delinquent()), rec_enq=every)
+    broken = _broken(corrupt_column)
+    rejected = {"rejected": F.count_if(broken)} if corrupt_column else {}
+    total, rec_enq = F.count(F.lit(1)), F.count_if(~broken)
+    return _row("defaulters", raw, total=total, delinq=F.count_if(is_delinquent() & ~broken), rec_enq=rec_enq, **rejected)
 
 
-def reconcile(feeds: Mapping[str, DataFrame], written: Mapping[str, DataFrame] | None = None) -> DataFrame:
+def reconcile(
+    feeds: Mapping[str, DataFrame], written: Mapping[str, DataFrame] | None = None, corrupt_column: str | None = None
+) -> DataFrame:
     """One row per feed: total, success, rejected, unaccounted and its breakdown, balanced.
 
     ``balanced`` is the plain check ``success + rejected = total``; removed duplicates, zero payments and NaN amounts
     make it false, and ``unaccounted`` equals their sum when nothing was lost. Each feed is read once. With ``written``
-    (``{"customers": table, "customers_rejected": table, ...}``), success and rejected are the rows actually stored.
+    (``{"customers": table, "customers_rejected": table, ...}``), success and rejected are the rows actually stored. Rows with a text in ``corrupt_column`` count as rejected.
     """
     stored = {name: df.agg(F.count(F.lit(1))).scalar() for name, df in (written or {}).items()}
     counters = {
-        "customers": lambda raw: count_customers(raw, stored.get(T_CUSTOMERS)),
+        "customers": lambda raw, corrupt: count_customers(raw, stored.get(T_CUSTOMERS), corrupt),
         "loans": count_loans,
         "repayments": count_repayments,
         "defaulters": count_defaulters,
     }
-    counts = reduce(DataFrame.unionAll, [counters[name](df) for name, df in feeds.items()])
+    counts = reduce(DataFrame.unionAll, [counters[name](df, corrupt_column) for name, df in feeds.items()])
     for table, size in stored.items():
         feed, column = _PROOF[table]
         counts = counts.withColumn(column, F.when(F.col("feed") == feed, size).otherwise(F.col(column)))
@@ -104,4 +112,5 @@ _PROOF = {
     f"{T_REPAYMENTS}_rejected": ("repayments", "rejected"),
     T_DELINQ: ("defaulters", "delinq"),
     T_REC_ENQ: ("defaulters", "rec_enq"),
+    f"{T_REC_ENQ}_rejected": ("defaulters", "rejected"),
 }

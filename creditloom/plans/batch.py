@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.operators.cleanse import clean_customers, clean_loans, clean_repayments, split_defaulters
+from creditloom.operators.cleanse import clean_customers, clean_loans, clean_repayments, corrupt_defaulters, split_defaulters
 from creditloom.operators.keys import duplicate_keys
 from creditloom.operators.points import ScoreParams
 from creditloom.operators.reconcile import reconcile
@@ -61,12 +61,17 @@ class RunResult(NamedTuple):
     reconciliation: DataFrame
 
 
-def open_feeds(spark: SparkSession, paths: Mapping[str, str], fmt: str | None = None) -> dict[str, DataFrame]:
+def open_feeds(
+    spark: SparkSession, paths: Mapping[str, str], fmt: str | None = None, corrupt_column: str | None = None
+) -> dict[str, DataFrame]:
     """Read the four feeds. CSV text is parsed once: it is stored as Parquet in the shared scratch folder, and the
-    passes that follow (good rows, rejects, counts) read columns from there."""
+    passes that follow (good rows, rejects, counts) read columns from there.
+
+    With ``corrupt_column`` every feed has a column of that name: the raw text of CSV rows that could not be parsed, else NULL.
+    """
     feeds = {}
     for name, path in paths.items():
-        feed = read_feed(spark, name, path, fmt)
+        feed = read_feed(spark, name, path, fmt, corrupt_column)
         if feed_format(path, fmt) != "parquet":
             feed = write_parquet(feed, scratch_path(spark, name))
         feeds[name] = feed
@@ -84,8 +89,9 @@ def run_silver(
     database: str | None = None,
     ingest_ts: Column | None = None,
     tables: str = "external",
+    corrupt_column: str | None = None,
 ) -> SilverTables:
-    """Cleanse the four feeds and store good rows and rejects.
+    """Cleanse the four feeds and store good rows and rejects, with ``corrupt_column`` also those that could not be parsed.
 
     With a database the good rows also become catalog tables: ``tables="external"`` registers the directory just
     written, ``"managed"`` stores a second copy that the catalog owns.
@@ -93,15 +99,18 @@ def run_silver(
     if tables not in ("external", "managed"):
         raise ValueError(f"tables must be 'external' or 'managed', not {tables!r}")
     splits = {
-        T_CUSTOMERS: clean_customers(feeds["customers"], ingest_ts),
-        T_LOANS: clean_loans(feeds["loans"], ingest_ts),
-        T_REPAYMENTS: clean_repayments(feeds["repayments"], ingest_ts),
+        T_CUSTOMERS: clean_customers(feeds["customers"], ingest_ts, corrupt_column),
+        T_LOANS: clean_loans(feeds["loans"], ingest_ts, corrupt_column),
+        T_REPAYMENTS: clean_repayments(feeds["repayments"], ingest_ts, corrupt_column),
     }
-    defaulters = split_defaulters(feeds["defaulters"])
+    defaulters = split_defaulters(feeds["defaulters"], corrupt_column)
     results = {t: split.good for t, split in splits.items()} | {T_DELINQ: defaulters.delinq, T_REC_ENQ: defaulters.rec_enq}
+    rejects = {t: split.rejected for t, split in splits.items()}
+    if corrupt_column:
+        rejects[T_REC_ENQ] = corrupt_defaulters(feeds["defaulters"], corrupt_column, ingest_ts)
     with ThreadPoolExecutor(WRITERS) as pool:  # independent writes fill the gaps that the last tasks of others leave
         good = {t: pool.submit(write_parquet, df, locations.silver[t]) for t, df in results.items()}
-        rejected = {t: pool.submit(write_parquet, s.rejected, locations.rejected[t]) for t, s in splits.items()}
+        rejected = {t: pool.submit(write_parquet, df, locations.rejected[t]) for t, df in rejects.items()}
         good = {t: written.result() for t, written in good.items()}
         rejected = {t: written.result() for t, written in rejected.items()}
     if database:
@@ -180,14 +189,15 @@ def run(
     weighted: bool = False,
     tables: str = "external",
     listed: DataFrame | None = None,
+    corrupt_column: str | None = None,
 ) -> RunResult:
     """The whole job with one ingest time for all tables. Every stage starts from the files of the one before, so a
     lost executor never sends the work back to the feeds. ``listed`` (as :func:`creditloom.sources.read_key_list` reads it) takes the
-    place of the members found here when scoring; those are stored all the same."""
+    place of the members found here when scoring; those are stored all the same. ``corrupt_column``: as in :func:`open_feeds`."""
     schedule = schedule.upper()
     spark = feeds["customers"].sparkSession
     now = spark.range(1).select(F.current_timestamp()).first()[0]
-    silver = run_silver(feeds, locations, database, F.lit(now), tables)
+    silver = run_silver(feeds, locations, database, F.lit(now), tables, corrupt_column)
     excluded = run_exclusions(silver.good, locations, database, tables)
     own = T_BAD_MEMBERS_INTERNAL if listed is None else None
     excluded = excluded if listed is None else listed
@@ -195,7 +205,7 @@ def run(
         silver.good, excluded, locations, database, params, schedule, basis, null_mode, grain, weighted, own
     )
     written = silver.good | {f"{t}_rejected": df for t, df in silver.rejected.items()}
-    return RunResult(silver, excluded, weekly, reconcile(feeds, written))
+    return RunResult(silver, excluded, weekly, reconcile(feeds, written, corrupt_column))
 
 
 def report(reconciliation: DataFrame) -> list[str]:

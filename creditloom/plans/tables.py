@@ -40,6 +40,8 @@ REJECT_KEYS = {
     T_LOANS: "loan.reject.path",
     T_REPAYMENTS: "loanrepayments.reject.path",
 }
+#: Only needed where malformed defaulter rows are told apart.
+CORRUPT_KEYS = {T_REC_ENQ: "defaulters.reject.path"}
 BAD_MEMBERS_KEY = "consolidated.reject.path"
 GOLD_WEEKLY_KEY = "gold.weekly.output.path"
 
@@ -58,7 +60,7 @@ class Locations:
         """The usual layout below one directory."""
         return cls(
             silver={t: f"{root}/silver/{t}" for t in SILVER_TABLES},
-            rejected={t: f"{root}/error/{t}" for t in REJECT_KEYS},
+            rejected={t: f"{root}/error/{t}" for t in (*REJECT_KEYS, T_REC_ENQ)},
             bad_members=f"{root}/error/{T_BAD_MEMBERS}",
             gold_weekly=f"{root}/gold/{T_GOLD_WEEKLY}",
         )
@@ -68,7 +70,7 @@ class Locations:
         """Read the paths from a flat configuration."""
         return cls(
             silver={t: conf[key] for t, key in OUTPUT_KEYS.items()},
-            rejected={t: conf[key] for t, key in REJECT_KEYS.items()},
+            rejected={t: conf[key] for t, key in (REJECT_KEYS | CORRUPT_KEYS).items() if t in REJECT_KEYS or key in conf},
             bad_members=conf[BAD_MEMBERS_KEY],
             gold_weekly=conf[GOLD_WEEKLY_KEY],
         )

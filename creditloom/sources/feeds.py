@@ -32,6 +32,8 @@ def read_feed(
     schema, renames = FEEDS[name]
     if feed_format(path, fmt) == "parquet":
         df = _conform(spark.read.parquet(path), schema)
+        if corrupt_column:
+            df = df.withColumn(corrupt_column, F.lit(None).cast("string"))  # Parquet rows are never malformed
     else:
         reader = spark.read.option("header", True)
         if corrupt_column:

@@ -151,6 +151,30 @@ def test_csv_feeds_are_parsed_once(spark, feeds, tmp_path, rows):
     assert direct["loans"].columns == feeds["loans"].columns
 
 
+def test_malformed_rows_are_rejected_apart(spark, feeds, tmp_path, rows):
+    from checks.catalogue import CORRUPT
+
+    for name, df in feeds.items():
+        source = {published: column for column, published in FEEDS[name][1].items()}
+        shown = df.withColumnsRenamed(source)
+        number = next(c for c, t in shown.dtypes if t == "float")
+        key = F.regexp_extract(shown.columns[0], r"\d+", 0).cast("long")
+        bad = shown.withColumn(number, F.when(key % 10 == 3, F.lit("n/a")).otherwise(F.col(number).cast("string")))
+        bad.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(f"{tmp_path}/{name}")
+    broken = {name: df.filter(F.regexp_extract(df.columns[0], r"\d+", 0).cast("long") % 10 == 3).count() for name, df in feeds.items()}
+    opened = open_feeds(spark, {name: f"{tmp_path}/{name}" for name in feeds}, "csv", CORRUPT)
+    result = run(opened, Locations.under(f"{tmp_path}/out"), schedule=DAILY, corrupt_column=CORRUPT)
+    for name, table in {"customers": "customers", "loans": "loans", "repayments": "loans_repayments", "defaulters": "loans_defaulters_detail_rec_enq"}.items():
+        apart = result.silver.rejected[table].filter(F.col(CORRUPT).isNotNull())
+        assert apart.count() == broken[name] > 0
+        assert {r[0] for r in apart.select("reject_reason").distinct().collect()} == {"Malformed row"}
+        assert CORRUPT not in result.silver.good[table].columns
+    counts = {r.feed: r for r in result.reconciliation.collect()}
+    assert counts["loans"].balanced and counts["loans"].total == feeds["loans"].count()
+    assert counts["defaulters"].rejected == broken["defaulters"] and counts["customers"].unaccounted == counts["customers"].duplicates
+    assert counts["repayments"].unaccounted == counts["repayments"].zero_total
+
+
 def test_locations_from_configuration():
     conf = {
         "customer.output.path": "s/c",
