@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from creditloom.llm.common import findable, hash_bitmap, in_bitmap, mix, stored
 from creditloom.llm.suffix_array import suffix_array
 
-#: Bytes of text in a chunk, in a piece whose anchors are found at a time, in a shard, and of one anchor's segments in a shard at most.
-CHUNK, PIECE, SHARD, MOST = 1 << 19, 1 << 20, 1 << 19, 1 << 20
+#: Bytes of text in a chunk, in a piece whose anchors are found at a time, in a shard, in the part of a shard that is sorted at a time,
+#: and of one anchor's segments in a shard at most.
+CHUNK, PIECE, SHARD, PART, MOST = 1 << 19, 1 << 20, 1 << 19, 1 << 15, 1 << 20
 #: Widths of the blocks of windows when an anchor is narrowed.
 WIDTHS = (32, 4, 1)
 
@@ -146,50 +147,91 @@ def runs(places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return places[begin], places[np.r_[begin[1:] - 1, len(places) - 1]] + size
 
 
-def repeated_windows(texts: list[bytes], counts: np.ndarray, weights: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment and offset of every window that starts at two places at least: in two segments, or in one of weight two or more."""
+def shared_core(texts: list[np.ndarray], counts: np.ndarray, at: np.ndarray, size: int, k: int) -> tuple[int, int]:
+    """How far before and behind their anchors' places all ``texts`` are alike, within what every window of every one holds.
+
+    (0, 0) if not even the ``k`` bytes of the anchor are alike (two anchors of one hash).
+    """
+    least, most = int((at - counts).min()) + 1, int(at.max())  # windows start so many bytes before the anchor
+    rows = np.stack([t[a - least : a + size - most] for t, a in zip(texts, at.tolist(), strict=True)])
+    alike = (rows == rows[0]).all(axis=0)
+    if not alike[least : least + k].all():
+        return 0, 0
+    differ = np.flatnonzero(~alike)
+    before, behind = differ[differ < least], differ[differ >= least]
+    return least - (int(before[-1]) + 1 if len(before) else 0), (int(behind[0]) if len(behind) else len(alike)) - least
+
+
+def repeated_windows(
+    texts: list[bytes], keys: np.ndarray, counts: np.ndarray, at: np.ndarray, weights: np.ndarray, size: int, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Segment and offset of every window that starts at two places at least: in two segments, or in one of weight two or more.
+
+    What all segments of an anchor share around it is one symbol in the text that is sorted.
+    """
+    data = [np.frombuffer(t, np.uint8) for t in texts]
+    parts, owner, begin, length, core = [], [], [], 0, 256
+    for same in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(keys)) + 1):
+        before, behind = shared_core([data[i] for i in same], counts[same], at[same], size, k)
+        core += 1
+        for i in same.tolist():
+            t = data[i] + np.int64(2)
+            if behind:
+                t = np.concatenate([t[: at[i] - before], [core + 2], t[at[i] + behind :]])
+            of = np.full(len(t) + 1, -1)
+            of[: counts[i]] = i
+            begin.append(length)
+            length += len(of)
+            parts += [t, [1]]  # 1: between segments
+            owner.append(of)
+    symbols, own, first = np.concatenate([*parts, [0]]), np.concatenate([*owner, [-1]]), np.array(begin)
+    order = suffix_array(symbols)
+    order = order[own[order] >= 0]  # windows alone, still in order
+    segment = own[order]
+    offset = order - first[segment]
     sizes = np.array([len(t) for t in texts])
-    begin = np.cumsum(sizes + 1) - sizes - 1
-    data = np.frombuffer(b"\0".join([*texts, bytes(8)]), np.uint8)
-    n = int((sizes + 1).sum())
-    symbols = data[:n].astype(np.int64) + 2
-    symbols[begin + sizes] = 1  # between segments
-    order = suffix_array(np.r_[symbols, 0])
-    owner = np.full(n + 1, -1)
-    for k, (b, c) in enumerate(zip(begin.tolist(), counts.tolist(), strict=True)):
-        owner[b : b + c] = k
-    order = order[owner[order] >= 0]  # windows alone, still in order
-    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    start = (np.cumsum(sizes) - sizes)[segment] + offset
+    eight = np.ndarray((int(sizes.sum()) + 1,), "<u8", b"".join([*texts, bytes(8)]), strides=(1,))
     same = np.arange(len(order) - 1)
-    for at in [*range(0, size - 7, 8), size - 8]:
-        same = same[eight[order[same] + at] == eight[order[same + 1] + at]]
+    for step in [*range(0, size - 7, 8), size - 8]:
+        same = same[eight[start[same] + step] == eight[start[same + 1] + step]]
     new = np.ones(len(order), bool)
     new[same + 1] = False
     which = np.cumsum(new) - 1
-    total = np.bincount(which, weights[owner[order]])
-    again = order[total[which] >= 2]
-    return owner[again], again - begin[owner[again]]
+    again = np.bincount(which, weights[segment])[which] >= 2
+    return segment[again], offset[again]
 
 
-def _sort(size: int):
-    """Suffix array of one shard: where the segments that occur once hold windows that occur again."""
+def _sort(size: int, k: int):
+    """Suffix arrays of one shard: where the segments that occur once hold windows that occur again.
+
+    A shard is sorted in parts of whole anchors: lists that fit a processor's cache are sorted in half the time.
+    """
 
     def judge(table: pa.Table) -> pa.Table:
-        weights, counts = table.column("weight").to_numpy(), table.column("count").to_numpy()
-        segment, offset = repeated_windows(table.column("bytes").to_pylist(), counts, weights, size)
-        lone = weights[segment] == 1
-        segment, offset = segment[lone], offset[lone]
-        order = np.lexsort((offset, segment))
-        segment, offset = segment[order], offset[order]
-        chunk, start = table.column("chunk").to_numpy(), table.column("start").to_numpy()
+        table = table.sort_by("key")
+        names = ("key", "count", "at", "weight", "chunk", "start")
+        keys, counts, at, weights, chunk, start = (table.column(n).to_numpy() for n in names)
+        texts = table.column("bytes").to_pylist()
+        sizes = np.array([len(t) for t in texts])
+        new = np.flatnonzero(np.diff(keys)) + 1
+        cuts = new[np.flatnonzero(np.diff(np.cumsum(sizes)[new - 1] // PART)) + 1] if len(new) else new
         found: list[tuple[np.ndarray, ...]] = []
-        for some in np.split(np.arange(len(segment)), np.flatnonzero(np.diff(segment)) + 1):
-            if len(some):
-                k = segment[some[0]]
-                lo, hi = runs(offset[some], size)
-                found.append((np.full(len(lo), chunk[k]), lo + start[k], hi + start[k]))
-        parts = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.int64)] * 3
-        return pa.table(dict(zip(("chunk", "lo", "hi"), parts, strict=True)))
+        for rows in np.split(np.arange(len(keys)), cuts):
+            lo, hi = rows[0], rows[-1] + 1
+            segment, offset = repeated_windows(texts[lo:hi], keys[rows], counts[rows], at[rows], weights[rows], size, k)
+            segment = segment + lo
+            lone = weights[segment] == 1
+            segment, offset = segment[lone], offset[lone]
+            order = np.lexsort((offset, segment))
+            segment, offset = segment[order], offset[order]
+            for some in np.split(np.arange(len(segment)), np.flatnonzero(np.diff(segment)) + 1):
+                if len(some):
+                    i = segment[some[0]]
+                    lo, hi = runs(offset[some], size)
+                    found.append((np.full(len(lo), chunk[i]), lo + start[i], hi + start[i]))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.int64)] * 3
+        return pa.table(dict(zip(("chunk", "lo", "hi"), columns, strict=True)))
 
     return judge
 
@@ -329,7 +371,7 @@ def remove_repeated_bytes(docs: DataFrame, size: int = 400, with_text: bool = Tr
         marks = marks.unionAll(narrowed(cut.where(F.col("size") > MOST), size))
         cut = cut.where(F.col("size") <= MOST)
     shards = max(1, -(-total // SHARD))
-    sorted_ = cut.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard").applyInArrow(_sort(size), MARK)
+    sorted_ = cut.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard").applyInArrow(_sort(size, k), MARK)
     marks = marks.unionAll(sorted_).groupBy("chunk").agg(F.collect_list(F.struct("lo", "hi")).alias("marks"))  # bounded by the chunk
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")

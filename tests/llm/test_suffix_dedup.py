@@ -79,12 +79,20 @@ def test_every_window_is_in_one_segment_also_across_pieces(rows, monkeypatch):
                 assert anchors.setdefault(data[s + i : s + i + 100].tobytes(), (key, a - i)) == (key, a - i)
 
 
-def test_one_shard():
-    texts = [b"abcdefgh" * 6, b"xx" + b"abcdefgh" * 4, b"q" * 40]
-    counts = np.array([len(t) - 23 for t in texts])
-    got = sorted(zip(*(x.tolist() for x in repeated_windows(texts, counts, np.array([1, 1, 1]), 24))))
-    windows = Counter(t[k : k + 24] for t in texts for k in range(len(t) - 23))
-    assert got == sorted((i, k) for i, t in enumerate(texts) for k in range(len(t) - 23) if windows[t[k : k + 24]] > 1)
+def test_segments_of_some_anchors(rows):
+    """All segments of a table, sorted at once, with their copies left in."""
+    texts = [(t or "").encode() for _, t in rows]
+    data = np.frombuffer(joined := b"".join(texts), np.uint8)
+    start, count, at, key = (np.concatenate(c) for c in zip(*segments(data, np.cumsum([len(t) for t in texts]), 100, 32)))
+    order = np.argsort(key, kind="stable")
+    start, count, at, key = (x[order] for x in (start, count, at, key))
+    pieces = [joined[a : a + n + 99] for a, n in zip(start.tolist(), count.tolist())]
+    weights = np.ones(len(key), np.int64)
+    seen = Counter(p[k : k + 100] for p in pieces for k in range(len(p) - 99))
+    for keys in (key, np.zeros(len(key), np.int64)):  # also with anchors whose hashes are all the same
+        found = repeated_windows(pieces, keys, count, at, weights, 100, 32)
+        got = sorted(zip(*(x.tolist() for x in found)))
+        assert got == sorted((i, k) for i, p in enumerate(pieces) for k in range(len(p) - 99) if seen[p[k : k + 100]] > 1)
 
 
 def test_empty_table_and_short_size(documents):
