@@ -56,9 +56,13 @@ def standardise_category(df: DataFrame, column: str, allowed: Iterable[str], def
     return df.withColumn(column, F.when(value.isin(*allowed), value).otherwise(default))
 
 
-def repair_total_payment(df: DataFrame) -> DataFrame:
-    """Rebuild a zero total from its parts where principal was in fact received."""
+def repaired_total() -> Column:
+    """The total payment, rebuilt from its parts where it is zero although principal was received."""
     principal, total = F.col("total_principal_received"), F.col("total_payment_received")
     rebuilt = principal + F.col("total_interest_received") + F.col("total_late_fee_received")
-    broken = (principal != 0.0) & (total == 0.0)
-    return df.withColumn("total_payment_received", F.when(broken, rebuilt).otherwise(total))
+    return F.when((principal != 0.0) & (total == 0.0), rebuilt).otherwise(total)
+
+
+def repair_total_payment(df: DataFrame) -> DataFrame:
+    """Rebuild a zero total from its parts where principal was in fact received."""
+    return df.withColumn("total_payment_received", repaired_total())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditloom.functions.casts import any_nan, any_null
 from creditloom.operators.cleanse import CUSTOMER_MANDATORY, LOAN_MANDATORY, REPAYMENT_MANDATORY, is_delinquent
-from creditloom.operators.quality import repair_total_payment
+from creditloom.operators.quality import repaired_total
 from creditloom.sources.schemas import CUSTOMER_RENAMES, T_CUSTOMERS, T_DELINQ, T_LOANS, T_REC_ENQ, T_REPAYMENTS
 
 COUNTS = ("total", "success", "rejected", "duplicates", "zero_total", "nan_amount", "delinq", "rec_enq")
@@ -49,33 +49,71 @@ def count_customers(raw: DataFrame, stored: Column | None = None, corrupt_column
     )
 
 
-def count_loans(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+def loan_counts(corrupt_column: str | None = None) -> dict[str, Column]:
+    """Aggregates over the loans feed."""
     bad = any_null(*LOAN_MANDATORY) | _broken(corrupt_column)
-    return _row("loans", raw, total=F.count(F.lit(1)), success=F.count_if(~bad), rejected=F.count_if(bad))
+    return {"total": F.count(F.lit(1)), "success": F.count_if(~bad), "rejected": F.count_if(bad)}
 
 
-def count_repayments(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
-    amounts = raw.select(*REPAYMENT_MANDATORY, *([corrupt_column] if corrupt_column else []))
+def repayment_counts(corrupt_column: str | None = None) -> dict[str, Column]:
+    """Aggregates over the repayments feed."""
     missing, nan = any_null(*REPAYMENT_MANDATORY) | _broken(corrupt_column), any_nan(*REPAYMENT_MANDATORY)
-    usable = ~missing & ~nan
-    paid = F.col("total_payment_received") != 0.0
-    return _row(
-        "repayments",
-        repair_total_payment(amounts.withColumns({"_missing": missing, "_nan": nan, "_usable": usable})),
-        total=F.count(F.lit(1)),
-        success=F.count_if(F.col("_usable") & paid),
-        rejected=F.count_if("_missing"),
-        zero_total=F.count_if(F.col("_usable") & ~paid),
-        nan_amount=F.count_if(~F.col("_missing") & F.col("_nan")),
-    )
+    usable, paid = ~missing & ~nan, repaired_total() != 0.0
+    return {
+        "total": F.count(F.lit(1)),
+        "success": F.count_if(usable & paid),
+        "rejected": F.count_if(missing),
+        "zero_total": F.count_if(usable & ~paid),
+        "nan_amount": F.count_if(~missing & nan),
+    }
 
 
-def count_defaulters(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
-    """The two defaulter tables overlap, so their sizes are shown without a balance check."""
+def defaulter_counts(corrupt_column: str | None = None) -> dict[str, Column]:
+    """Aggregates over the defaulters feed. Its two tables overlap, so their sizes are shown without a balance check."""
     broken = _broken(corrupt_column)
     rejected = {"rejected": F.count_if(broken)} if corrupt_column else {}
-    total, rec_enq = F.count(F.lit(1)), F.count_if(~broken)
-    return _row("defaulters", raw, total=total, delinq=F.count_if(is_delinquent() & ~broken), rec_enq=rec_enq, **rejected)
+    both = {"delinq": F.count_if(is_delinquent() & ~broken), "rec_enq": F.count_if(~broken)}
+    return {"total": F.count(F.lit(1)), **both, **rejected}
+
+
+def count_loans(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+    return _row("loans", raw, **loan_counts(corrupt_column))
+
+
+def count_repayments(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+    return _row("repayments", raw, **repayment_counts(corrupt_column))
+
+
+def count_defaulters(raw: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+    return _row("defaulters", raw, **defaulter_counts(corrupt_column))
+
+
+#: Feeds whose good rows are written without a shuffle, so that counting while writing sees every row once even if tasks
+#: are run again on other executors; what is counted before a shuffle may be counted twice then.
+COUNTED_WHILE_WRITTEN = {"loans": loan_counts, "repayments": repayment_counts, "defaulters": defaulter_counts}
+
+
+def reconcile_written(
+    customers: DataFrame, seen: Mapping[str, Mapping[str, int]], stored: Mapping[str, int], corrupt_column: str | None = None
+) -> DataFrame:
+    """:func:`reconcile` from counts that arose while the tables were written: ``seen`` by feed, ``stored`` rows by table.
+
+    Only the customers are read again, in their mandatory columns.
+    """
+    proofs = {(feed, column): stored[table] for table, (feed, column) in _PROOF.items() if table in stored}
+    lines = []
+    for feed, counts in seen.items():
+        known = dict(counts) | {column: n for (of, column), n in proofs.items() if of == feed}
+        lines.append((feed, *(known.get(c) for c in COUNTS)))
+    schema = "feed string, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    people = count_customers(customers, F.lit(stored[T_CUSTOMERS]).cast("bigint"), corrupt_column)
+    people = people.withColumn("rejected", F.lit(stored[f"{T_CUSTOMERS}_rejected"]).cast("bigint"))
+    return _balance(people.unionAll(customers.sparkSession.createDataFrame(lines, schema)))
+
+
+def _balance(counts: DataFrame) -> DataFrame:
+    unaccounted = F.col("total") - F.col("success") - F.col("rejected")
+    return counts.withColumns({"unaccounted": unaccounted, "balanced": unaccounted == 0})
 
 
 def reconcile(
@@ -98,8 +136,7 @@ def reconcile(
     for table, size in stored.items():
         feed, column = _PROOF[table]
         counts = counts.withColumn(column, F.when(F.col("feed") == feed, size).otherwise(F.col(column)))
-    unaccounted = F.col("total") - F.col("success") - F.col("rejected")
-    return counts.withColumns({"unaccounted": unaccounted, "balanced": unaccounted == 0})
+    return _balance(counts)
 
 
 # Stored table -> (feed, count it proves)

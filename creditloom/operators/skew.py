@@ -132,16 +132,17 @@ def _with_slices(df: DataFrame, key: str, hot: HotKeys) -> DataFrame:
     return df.join(F.broadcast(rows), key, "left")  # at most `parallelism` rows
 
 
-def repeat_rows(df: DataFrame, times: str | Column, block: int = REPEAT_BLOCK) -> DataFrame:
+def repeat_rows(df: DataFrame, times: str | Column, block: int = REPEAT_BLOCK, tasks: int | None = None) -> DataFrame:
     """Repeat each row ``times`` times, in blocks, so that no array grows beyond ``block`` or ``times / block``.
 
     Blocks are dealt to tasks before they are spelled out, so one row with a very large ``times`` keeps no task busy
-    alone. The number of tasks is given, as adaptive execution would merge them by the few bytes that blocks take.
+    alone. The number of ``tasks`` is given, as adaptive execution would merge them by the few bytes that blocks take; whoever knows
+    the number of rows to come can choose it by them (default: as many as the session's shuffles have).
     """
     n = F.col(times) if isinstance(times, str) else times
     blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / block))
     in_block = F.least(F.lit(block).cast("bigint"), n - F.col("_block") * block)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.filter(n > 0)
         .withColumn("_block", F.explode(blocks))

@@ -7,14 +7,15 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.operators.cleanse import clean_customers, clean_loans, clean_repayments, corrupt_defaulters, split_defaulters
 from creditloom.operators.keys import duplicate_keys
 from creditloom.operators.points import ScoreParams
-from creditloom.operators.reconcile import reconcile
-from creditloom.operators.scoring import gold, grade, hot_members
+from creditloom.operators.reconcile import COUNTED_WHILE_WRITTEN, reconcile_written
+from creditloom.operators.scoring import ROW_COUNT, gold, grade, hot_members
+from creditloom.operators.skew import repeat_rows
 from creditloom.plans.tables import (
     FEED_KEYS,
     Locations,
@@ -43,15 +44,25 @@ DAILY, WEEKLY = "DAILY", "WEEKLY"
 T_EXCLUDED = "excluded_members"
 
 WRITERS = 4  # silver tables written at a time
+UNEVEN = (T_CUSTOMERS, T_DELINQ)  # silver tables that a shuffle or a filter leaves in files of any size
+ROWS_A_TASK = 1 << 20  # weekly scores that a task spells out and writes; they repeat, so their files come out small
 
 logger = logging.getLogger(__name__)
 
 
+class Counts(NamedTuple):
+    """What was counted while writing: aggregates over feeds, and rows by table (rejects: ``<table>_rejected``)."""
+
+    seen: dict[str, dict[str, int]]
+    stored: dict[str, int]
+
+
 class SilverTables(NamedTuple):
     """Stored tables by name."""
 
     good: dict[str, DataFrame]
     rejected: dict[str, DataFrame]
+    counts: Counts | None = None
 
 
 class RunResult(NamedTuple):
@@ -98,28 +109,48 @@ def run_silver(
     """
     if tables not in ("external", "managed"):
         raise ValueError(f"tables must be 'external' or 'managed', not {tables!r}")
+    observed = {feed: Observation() for feed in COUNTED_WHILE_WRITTEN}
+    watched = {
+        feed: feeds[feed].observe(seen, *[c.alias(n) for n, c in COUNTED_WHILE_WRITTEN[feed](corrupt_column).items()])
+        for feed, seen in observed.items()
+    }
     splits = {
         T_CUSTOMERS: clean_customers(feeds["customers"], ingest_ts, corrupt_column),
-        T_LOANS: clean_loans(feeds["loans"], ingest_ts, corrupt_column),
-        T_REPAYMENTS: clean_repayments(feeds["repayments"], ingest_ts, corrupt_column),
+        T_LOANS: clean_loans(watched["loans"], ingest_ts, corrupt_column),
+        T_REPAYMENTS: clean_repayments(watched["repayments"], ingest_ts, corrupt_column),
+    }
+    defaulters = split_defaulters(watched["defaulters"], corrupt_column)
+    results = {t: split.good for t, split in splits.items()} | {T_REC_ENQ: defaulters.rec_enq}
+    results[T_DELINQ] = split_defaulters(feeds["defaulters"], corrupt_column).delinq  # rows are counted in one write only
+    rejects = {
+        T_CUSTOMERS: splits[T_CUSTOMERS].rejected,
+        T_LOANS: clean_loans(feeds["loans"], ingest_ts, corrupt_column).rejected,
+        T_REPAYMENTS: clean_repayments(feeds["repayments"], ingest_ts, corrupt_column).rejected,
     }
-    defaulters = split_defaulters(feeds["defaulters"], corrupt_column)
-    results = {t: split.good for t, split in splits.items()} | {T_DELINQ: defaulters.delinq, T_REC_ENQ: defaulters.rec_enq}
-    rejects = {t: split.rejected for t, split in splits.items()}
     if corrupt_column:
         rejects[T_REC_ENQ] = corrupt_defaulters(feeds["defaulters"], corrupt_column, ingest_ts)
     with ThreadPoolExecutor(WRITERS) as pool:  # independent writes fill the gaps that the last tasks of others leave
-        good = {t: pool.submit(write_parquet, df, locations.silver[t]) for t, df in results.items()}
-        rejected = {t: pool.submit(write_parquet, df, locations.rejected[t]) for t, df in rejects.items()}
+        good = {t: pool.submit(_counted, df, locations.silver[t], t in UNEVEN) for t, df in results.items()}
+        rejected = {t: pool.submit(_counted, df, locations.rejected[t], True) for t, df in rejects.items()}
         good = {t: written.result() for t, written in good.items()}
         rejected = {t: written.result() for t, written in rejected.items()}
+    stored = {t: n for t, (_, n) in good.items()} | {f"{t}_rejected": n for t, (_, n) in rejected.items()}
+    counts = Counts({feed: seen.get for feed, seen in observed.items()}, stored)
     if database:
-        for t, stored in good.items():
+        for t, (written, _) in good.items():
             if tables == "managed":
-                save_table(stored, qualified(database, t))
+                save_table(written, qualified(database, t))
             else:
-                register_table(stored.sparkSession, qualified(database, t), locations.silver[t])
-    return SilverTables(good, rejected)
+                register_table(written.sparkSession, qualified(database, t), locations.silver[t], written.schema)
+    return SilverTables({t: df for t, (df, _) in good.items()}, {t: df for t, (df, _) in rejected.items()}, counts)
+
+
+def _counted(df: DataFrame, path: str, even: bool) -> tuple[DataFrame, int]:
+    """Store ``df`` and count its rows on the way, in the tasks that write them."""
+    rows = Observation()
+    df = df.hint("rebalance") if even else df
+    written = write_parquet(df.observe(rows, F.count(F.lit(1)).alias("n")), path)
+    return written, rows.get["n"]
 
 
 def run_exclusions(
@@ -130,10 +161,10 @@ def run_exclusions(
     spark = silver[T_CUSTOMERS].sparkSession
     found = duplicate_keys([silver[t] for t in (T_CUSTOMERS, T_DELINQ, T_REC_ENQ)], "member_id")
     if not database:
-        stored = write_parquet(found, locations.bad_members)
+        stored = write_parquet(found, locations.bad_members, even=True)
         stored.createOrReplaceTempView(T_BAD_MEMBERS)
         return stored
-    stored = save_table(found, qualified(database, T_BAD_MEMBERS), locations.bad_members)
+    stored = save_table(found, qualified(database, T_BAD_MEMBERS), locations.bad_members, even=True)
     if tables == "managed":
         save_table(stored, qualified(database, T_BAD_MEMBERS_INTERNAL))
     else:
@@ -171,10 +202,15 @@ def run_gold(
     deploy_views(spark, database, params, hot, excluded_table if database else excluded, null_mode)
     if schedule != WEEKLY:
         return None
-    graded = grade(gold(silver, excluded, params, null_mode, grain, weighted, hot), params, basis)
+    # The distinct scores are stored first, a few rows a member; their number says how many tasks spell them out.
+    scores = write_parquet(gold(silver, excluded, params, null_mode, grain, True, hot), scratch_path(spark, "scores"), even=True)
+    if not weighted:
+        total = scores.agg(F.sum(ROW_COUNT)).first()[0] or 0
+        scores = repeat_rows(scores, ROW_COUNT, tasks=max(1, -(-total // ROWS_A_TASK))).drop(ROW_COUNT)
+    graded = grade(scores, params, basis)
     if not database:
-        return write_parquet(graded, locations.gold_weekly)
-    return save_table(graded, qualified(database, T_GOLD_WEEKLY), locations.gold_weekly)
+        return write_parquet(graded, locations.gold_weekly, even=weighted)
+    return save_table(graded, qualified(database, T_GOLD_WEEKLY), locations.gold_weekly, even=weighted)
 
 
 def run(
@@ -204,8 +240,8 @@ def run(
     weekly = run_gold(
         silver.good, excluded, locations, database, params, schedule, basis, null_mode, grain, weighted, own
     )
-    written = silver.good | {f"{t}_rejected": df for t, df in silver.rejected.items()}
-    return RunResult(silver, excluded, weekly, reconcile(feeds, written, corrupt_column))
+    counted = reconcile_written(feeds["customers"], *silver.counts, corrupt_column)
+    return RunResult(silver, excluded, weekly, counted)
 
 
 def report(reconciliation: DataFrame) -> list[str]:

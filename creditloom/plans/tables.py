@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from creditloom.sources.schemas import (
     SILVER_TABLES,
@@ -56,15 +58,25 @@ class Locations:
     gold_weekly: str
 
     @classmethod
-    def under(cls, root: str) -> Locations:
-        """The usual layout below one directory."""
+    def under(cls, root: str, version: str | None = None) -> Locations:
+        """The usual layout below one directory. With a ``version`` each table's files go to a folder of that name in its directory."""
+        below = f"/{version}" if version else ""
         return cls(
-            silver={t: f"{root}/silver/{t}" for t in SILVER_TABLES},
-            rejected={t: f"{root}/error/{t}" for t in (*REJECT_KEYS, T_REC_ENQ)},
-            bad_members=f"{root}/error/{T_BAD_MEMBERS}",
-            gold_weekly=f"{root}/gold/{T_GOLD_WEEKLY}",
+            silver={t: f"{root}/silver/{t}{below}" for t in SILVER_TABLES},
+            rejected={t: f"{root}/error/{t}{below}" for t in (*REJECT_KEYS, T_REC_ENQ)},
+            bad_members=f"{root}/error/{T_BAD_MEMBERS}{below}",
+            gold_weekly=f"{root}/gold/{T_GOLD_WEEKLY}{below}",
         )
 
+    @classmethod
+    def new_version(cls, root: str) -> Locations:
+        """:meth:`under` a version of its own, later in name than those before.
+
+        Catalog tables are then pointed at the new files when these are complete, and whoever reads them keeps the files that
+        the query began with. Old versions are left to the owner of the directory, who knows when the last reader is done.
+        """
+        return cls.under(root, f"version-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}")
+
     @classmethod
     def from_mapping(cls, conf: Mapping[str, str]) -> Locations:
         """Read the paths from a flat configuration."""
@@ -80,25 +92,40 @@ def qualified(database: str | None, name: str) -> str:
     return f"{database}.{name}" if database else name
 
 
-def write_parquet(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite ``path`` and return its content, so that later steps start from the stored files."""
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, even: bool = False) -> DataFrame:
+    """Overwrite ``path`` and return its content, so that later steps start from the stored files.
+
+    ``even`` lets adaptive execution merge and split what is written to files near its advisory size; it costs a shuffle, so it is
+    meant for results that are small, or that a shuffle or a strict filter leaves uneven. Rows that come straight from a
+    scan need none: their files are as large as the scan's splits.
+    """
+    (df.hint("rebalance") if even else df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def save_table(df: DataFrame, name: str, path: str | None = None, even: bool = False) -> DataFrame:
     """Overwrite a catalog table: managed without ``path``, external with it."""
-    writer = df.write.mode("overwrite").format("parquet")
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        return register_table(df.sparkSession, name, path, write_parquet(df, path, even).schema)
+    (df.hint("rebalance") if even else df).write.mode("overwrite").format("parquet").saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Point an external table at files that are already there; no data is copied."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+def register_table(spark: SparkSession, name: str, path: str, schema: StructType | None = None) -> DataFrame:
+    """Point an external table at files that are already there; no data is copied.
+
+    A table of the same columns stays and only changes its location, so that it never is missing for its readers.
+    """
+    schema = schema or spark.read.parquet(path).schema
+    if spark.catalog.tableExists(name):
+        same = [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in schema]
+        if same and spark.catalog.getTable(name).tableType == "EXTERNAL":
+            escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{escaped}'")
+            spark.catalog.refreshTable(name)
+            return spark.table(name)
+        spark.sql(f"DROP TABLE {name}")
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
     return spark.table(name)
 
 
