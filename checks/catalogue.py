@@ -26,7 +26,7 @@ from creditloom.operators import (
 )
 from creditloom.operators.quality import INGESTED
 from creditloom.operators.skew import hot_keys
-from creditloom.plans import DAILY, WEEKLY, Locations, open_feeds, run
+from creditloom.plans import DAILY, WEEKLY, Locations, deploy_functions, open_feeds, run
 from creditloom.plans.tables import scratch_path
 from creditloom.sources import read_feed, read_key_list, star_feeds
 from creditloom.sources.schemas import (
@@ -220,6 +220,21 @@ def _malformed(spark: SparkSession, directory: str) -> DataFrame:
     return rejected.select("loan_id", "reject_reason", F.substring_index(CORRUPT, ",", 1).alias("raw_id"))
 
 
+def _gold_function(arguments: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Functions are deployed once, with the usual points; the caller may change some of them."""
+
+    def result(spark: SparkSession, database: str) -> DataFrame:
+        deploy_functions(spark, database)
+        before = spark.catalog.currentDatabase()
+        spark.catalog.setCurrentDatabase(database)  # table functions are called by their bare names
+        try:
+            return spark.sql(f"SELECT * FROM gold_loan_scores({arguments})")
+        finally:
+            spark.catalog.setCurrentDatabase(before)
+
+    return result
+
+
 def _stamps(spark: SparkSession, database: str) -> DataFrame:
     """Rows of the stored tables by whether they carry the one ingest time of the run."""
     first = spark.table(f"{database}.{T_LOANS}").agg(F.min(INGESTED)).scalar()
@@ -293,6 +308,11 @@ def queries() -> dict[str, Query]:
         "batch_managed_customers": _batch(
             lambda spark, database: spark.table(f"{database}.{T_CUSTOMERS}"), schedule=DAILY, tables="managed"
         ),
+        "gold_function": _batch(_gold_function(""), schedule=DAILY),
+        "gold_function_changed_points": _batch(
+            _gold_function("p_excellent => 900, p_bad => 200, p_cutoff_very_good => 900, p_cutoff_good => 600, p_cutoff_bad => 400"),
+            schedule=DAILY,
+        ),
         "batch_ingest_stamps": _batch(_stamps, schedule=DAILY),
         "injected_ingest_time": _injected_stamp,
         "malformed_csv_rejects": _malformed,

@@ -338,6 +338,11 @@ def oracle_sql() -> dict[str, str]:
         "batch_gold_view_ignore_nulls": _with(statements["batch_gold_view"], **odd, bad_members=known),
         "batch_external_list": _with(statements["batch_weekly_table"], bad_members=outside),
         "batch_external_list_view": _with(statements["batch_ledger_view"], bad_members=outside),
+        "gold_function": plain["gold_weekly"],
+        "gold_function_changed_points": _with(
+            _grades("financial_health_pts", 900, 600, 400),
+            **{name: bodies[name].replace("800", "900").replace("250", "200") for name in ("payment_points", "ledger_rows", "health_points")},
+        ),
         "batch_managed_customers": plain["silver_customers"],
         "batch_ingest_stamps": _with("""
             SELECT 'customers' AS stored, true AS stamped, count(*) AS n FROM customers

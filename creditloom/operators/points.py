@@ -48,6 +48,29 @@ class ScoreParams:
         return self.cutoff_unacceptable if self.delinq_worst is None else self.delinq_worst
 
 
+class ParameterNames:
+    """Stands in for :class:`ScoreParams` where rules refer to SQL parameters: each value is the name of its parameter."""
+
+    PREFIX = "p_"
+
+    def __getattr__(self, name: str) -> str:
+        if name not in {f.name for f in fields(ScoreParams)}:
+            raise AttributeError(name)
+        return self.PREFIX + name
+
+    @property
+    def worst_delinquency(self) -> str:
+        return f"coalesce({self.PREFIX}delinq_worst, {self.PREFIX}cutoff_unacceptable)"
+
+    @classmethod
+    def declared(cls, defaults: ScoreParams) -> str:
+        """The parameter list of a SQL function; a whole number each."""
+        values = {f.name: getattr(defaults, f.name) for f in fields(ScoreParams)}
+        if not all(v is None or isinstance(v, int) for v in values.values()):
+            raise ValueError("points and cutoffs of a SQL function are whole numbers")
+        return ", ".join(f"{cls.PREFIX}{n} INT DEFAULT {'NULL' if v is None else v}" for n, v in values.items())
+
+
 # --- fixed values: shares of the three parts, patterns, utilisation steps, grade letters and factors ---
 
 POINT_LEVELS = ("unacceptable", "very_bad", "bad", "good", "very_good", "excellent")
@@ -158,7 +181,7 @@ def sub_grade_points(p: ScoreParams) -> str:
     factor = first_match([(f"sub_grade = concat(grade, '{step}')", share) for step, share in SUB_GRADE_FACTORS])
     points = f"coalesce({base} * {factor}, {p.unacceptable})"
     # Whole points need two decimals; finer points keep every decimal the product has.
-    whole = all(isinstance(getattr(p, level), int) for level in POINT_LEVELS)
+    whole = all(isinstance(getattr(p, level), (int, str)) for level in POINT_LEVELS)
     return f"CAST({points} AS DECIMAL(12,2))" if whole else points
 
 
@@ -185,5 +208,9 @@ GRADE_BASIS = {
 def final_grade(p: ScoreParams, basis: str = "financial_health") -> str:
     """Letter grade of a gold row. NULL scores fall through to the lowest grade."""
     score = GRADE_BASIS[basis]
-    arms = [(f"{score} >= {float(getattr(p, cutoff))}D", f"'{label}'") for label, cutoff in GRADE_LABELS]
+
+    def number(value: int | Decimal | str) -> str:
+        return f"CAST({value} AS DOUBLE)" if isinstance(value, str) else f"{float(value)}D"
+
+    arms = [(f"{score} >= {number(getattr(p, cutoff))}", f"'{label}'") for label, cutoff in GRADE_LABELS]
     return first_match(arms, otherwise=f"'{GRADE_BELOW}'")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from creditloom.operators import points
 from creditloom.operators.keys import check_null_mode
-from creditloom.operators.points import ScoreParams
+from creditloom.operators.points import ParameterNames, ScoreParams
 from creditloom.operators.scoring import GOLD_COLUMNS, LEDGER_COLUMNS, LOAN, gold, grade, hot_members, ledger, payment_history
 from creditloom.operators.skew import SLICE, HotKeys, hot_keys_sql, repeat_rows_sql, replicate_sql, spread_sql
 from creditloom.plans.tables import qualified
@@ -59,6 +59,42 @@ def deploy_views(
     gold(silver, excluded, params, null_mode, hot=hot).createOrReplaceTempView(V_GOLD)
 
 
+def deploy_functions(
+    spark: SparkSession,
+    database: str,
+    defaults: ScoreParams | None = None,
+    excluded: str | None = None,
+    null_mode: str = "not_in",
+    basis: str = "financial_health",
+) -> None:
+    """Create or replace table functions of ``database`` that return what the views hold, with points and cutoffs as parameters.
+
+    A change of points needs no new deployment: ``SELECT * FROM gold_loan_scores(p_excellent => 900)`` (with ``database`` as the
+    current one: Spark calls table functions by their bare names). The functions are ``payment_history_scores``, ``ledger_scores`` and ``gold_loan_scores``, the last with the grade; parameters are named like the
+    fields of :class:`ScoreParams` with ``p_`` before them and default to ``defaults``.
+    """
+    defaults = defaults or ScoreParams()
+    names = ParameterNames()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = view_definitions(database, defaults, excluded, null_mode, tasks, stacked=False)
+    bodies = view_definitions(database, names, excluded, null_mode, tasks, stacked=False)
+
+    def graded(gold: str, params: ScoreParams | ParameterNames) -> str:
+        return f"SELECT *, {points.final_grade(params, basis)} AS loan_final_grade FROM ({gold})"
+
+    functions = {
+        "payment_history_scores": (bodies[V_PAYMENT_HISTORY], plain[V_PAYMENT_HISTORY]),
+        "ledger_scores": (bodies[V_LEDGER], plain[V_LEDGER]),
+        "gold_loan_scores": (graded(bodies[V_GOLD], names), graded(plain[V_GOLD], defaults)),
+    }
+    for name, (body, example) in functions.items():
+        columns = ", ".join(f"{c} {t}" for c, t in spark.sql(example).dtypes)
+        spark.sql(
+            f"CREATE OR REPLACE FUNCTION {qualified(database, name)}({ParameterNames.declared(defaults)}) "
+            f"RETURNS TABLE ({columns}) RETURN {body}"
+        )
+
+
 def weekly_scores(
     spark: SparkSession, database: str | None = None, params: ScoreParams | None = None, basis: str = "financial_health"
 ) -> DataFrame:
@@ -67,12 +103,17 @@ def weekly_scores(
 
 
 def view_definitions(
-    database: str, params: ScoreParams, excluded: str | None = None, null_mode: str = "not_in", tasks: int = 200
+    database: str,
+    params: ScoreParams | ParameterNames,
+    excluded: str | None = None,
+    null_mode: str = "not_in",
+    tasks: int = 200,
+    stacked: bool = True,
 ) -> dict[str, str]:
     """View name -> SELECT text, in order of deployment. ``excluded`` names a table (default: the stored list).
 
     ``tasks`` is what a member's share of the rows is measured by; rows are also spelled out in as many tasks. Both hold
-    however the tables change after deployment."""
+    however the tables change after deployment. ``stacked`` texts read the view before them, others hold its text."""
     check_null_mode(null_mode)
     t = {name: qualified(database, name) for name in (*SILVER_TABLES, V_PAYMENT_HISTORY, V_LEDGER)}
     excluded = qualified(database, excluded or T_BAD_MEMBERS_INTERNAL)
@@ -100,6 +141,8 @@ def view_definitions(
         f"{points.total_payment_points(params)} AS total_payment_pts "
         f"FROM {t[T_REPAYMENTS]} r JOIN kept k ON r.loan_id = k.loan_id"
     )
+    if not stacked:
+        t[V_PAYMENT_HISTORY] = f"({payment})"
     # Every side is counted by its points before the members meet, so that a member has a handful of rows in the joins.
     join, nulls = not_listed("e.member_id", excluded)
     ledger_columns = ", ".join(LEDGER_COLUMNS)
