@@ -274,6 +274,10 @@ def queries() -> dict[str, Query]:
         "clean_members_ignore_nulls": _over_silver(
             lambda s, x: exclude_keys(s[T_CUSTOMERS], x, "member_id", null_mode="ignore")
         ),
+        "clean_members_bypass_not_in": _over_silver(lambda s, x: exclude_keys(s[T_REC_ENQ], x, "member_id", bypass=True)),
+        "clean_members_bypass_ignore_nulls": _over_silver(
+            lambda s, x: exclude_keys(s[T_CUSTOMERS], x, "member_id", null_mode="ignore", bypass=True)
+        ),
         "payment_history": _over_silver(payment_history),
         "ledger": _over_members(lambda s, x, hot: ledger(s, x, hot=hot)),
         "gold_realtime": _over_members(lambda s, x, hot: gold(s, x, hot=hot)),

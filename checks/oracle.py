@@ -325,6 +325,8 @@ def oracle_sql() -> dict[str, str]:
     broken = "CAST(loan_id AS BIGINT) % 19 = 5 OR CAST(loan_id AS BIGINT) % 23 = 3 OR CAST(loan_id AS BIGINT) % 31 = 7"
     feeds = {f"parquet_feed_{name}": plain[f"csv_roundtrip_{name}"] for name in ("customers", "loans", "repayments", "defaulters")}
     return plain | feeds | {
+        "clean_members_bypass_not_in": plain["clean_members_not_in"],
+        "clean_members_bypass_ignore_nulls": plain["clean_members_ignore_nulls"],
         "odd_delinquencies": _with(statements["delinquencies"], **odd),
         "odd_records_enquiries": _with(statements["records_enquiries"], **odd),
         "odd_silver_repayments": _with(statements["silver_repayments"], **odd),

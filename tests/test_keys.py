@@ -30,10 +30,11 @@ def test_duplicate_null_key_is_listed_once(spark):
         ([None], [], ["a", "b", "b", None]),
     ],
 )
-def test_exclusion_follows_sql_not_in(spark, listed, not_in, ignore):
+@pytest.mark.parametrize("bypass", [False, True])
+def test_exclusion_follows_sql_not_in(spark, listed, not_in, ignore, bypass):
     df, exclude = keys(spark, "a", "b", "b", None), keys(spark, *listed)
-    assert members(exclude_keys(df, exclude, "member_id")) == sorted(not_in, key=repr)
-    assert members(exclude_keys(df, exclude, "member_id", null_mode="ignore")) == sorted(ignore, key=repr)
+    assert members(exclude_keys(df, exclude, "member_id", bypass=bypass)) == sorted(not_in, key=repr)
+    assert members(exclude_keys(df, exclude, "member_id", null_mode="ignore", bypass=bypass)) == sorted(ignore, key=repr)
     df.createOrReplaceTempView("probe")
     exclude.createOrReplaceTempView("listed")
     literal = spark.sql("SELECT * FROM probe WHERE member_id NOT IN (SELECT member_id FROM listed)")
@@ -65,3 +66,17 @@ def test_large_list_is_not_forced_into_a_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "LeftAnti" in plan
     assert "Broadcast" not in plan
+
+
+def test_bypass_keeps_unlisted_rows_out_of_the_shuffle(spark, shuffled_rows, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, 'hot', concat('m', id)) AS member_id", "id").write.parquet(f"{tmp_path}/rows")
+        spark.range(0, 500).selectExpr("concat('m', id) AS member_id").write.parquet(f"{tmp_path}/list")
+        df, listed = spark.read.parquet(f"{tmp_path}/rows"), spark.read.parquet(f"{tmp_path}/list")
+        kept = exclude_keys(df, listed, "member_id", bypass=True)
+        stages = shuffled_rows(lambda: kept.write.format("noop").mode("overwrite").save())
+        assert sum(map(sum, stages)) < 5_000  # the list twice, its bitmap, and what the bitmap does not let by
+        assert kept.count() == exclude_keys(df, listed, "member_id").count() == 60_000 - 333
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
