@@ -317,6 +317,9 @@ def queries() -> dict[str, Query]:
             _gold_function("p_excellent => 900, p_bad => 200, p_cutoff_very_good => 900, p_cutoff_good => 600, p_cutoff_bad => 400"),
             schedule=DAILY,
         ),
+        "batch_bucketed_weekly": _batch(
+            lambda spark, database: spark.table(f"{database}.{T_GOLD_WEEKLY}"), schedule=WEEKLY, tables="bucketed"
+        ),
         "batch_ingest_stamps": _batch(_stamps, schedule=DAILY),
         "injected_ingest_time": _injected_stamp,
         "malformed_csv_rejects": _malformed,

@@ -340,6 +340,7 @@ def oracle_sql() -> dict[str, str]:
         "batch_gold_view_ignore_nulls": _with(statements["batch_gold_view"], **odd, bad_members=known),
         "batch_external_list": _with(statements["batch_weekly_table"], bad_members=outside),
         "batch_external_list_view": _with(statements["batch_ledger_view"], bad_members=outside),
+        "batch_bucketed_weekly": plain["batch_weekly_table"],
         "gold_function": plain["gold_weekly"],
         "gold_function_changed_points": _with(
             _grades("financial_health_pts", 900, 600, 400),

@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 from creditloom.operators.cleanse import clean_customers, clean_loans, clean_repayments, corrupt_defaulters, split_defaulters
 from creditloom.operators.keys import duplicate_keys
 from creditloom.operators.points import ScoreParams
-from creditloom.operators.reconcile import COUNTED_WHILE_WRITTEN, reconcile_written
-from creditloom.operators.scoring import ROW_COUNT, gold, grade, hot_members
+from creditloom.operators.reconcile import COUNTED_WHILE_WRITTEN, reconcile, reconcile_written
+from creditloom.operators.scoring import LOAN, MEMBER, ROW_COUNT, gold, grade, hot_members
 from creditloom.operators.skew import repeat_rows
 from creditloom.plans.tables import (
     FEED_KEYS,
     Locations,
     qualified,
     register_table,
+    save_bucketed,
     save_table,
     scratch_path,
     write_parquet,
@@ -105,10 +106,14 @@ def run_silver(
     """Cleanse the four feeds and store good rows and rejects, with ``corrupt_column`` also those that could not be parsed.
 
     With a database the good rows also become catalog tables: ``tables="external"`` registers the directory just
-    written, ``"managed"`` stores a second copy that the catalog owns.
+    written, ``"managed"`` stores a second copy that the catalog owns, and ``"bucketed"`` stores loans and repayments in buckets
+    by loan and the member tables in buckets by member, as many as the session's shuffles have partitions. Joins on those keys
+    then read the buckets without a shuffle; see :func:`creditloom.plans.tables.save_bucketed` for when it pays.
     """
-    if tables not in ("external", "managed"):
-        raise ValueError(f"tables must be 'external' or 'managed', not {tables!r}")
+    if tables not in ("external", "managed", "bucketed"):
+        raise ValueError(f"tables must be 'external', 'managed' or 'bucketed', not {tables!r}")
+    if tables == "bucketed" and not database:
+        raise ValueError("buckets are kept by the catalog; name a database")
     observed = {feed: Observation() for feed in COUNTED_WHILE_WRITTEN}
     watched = {
         feed: feeds[feed].observe(seen, *[c.alias(n) for n, c in COUNTED_WHILE_WRITTEN[feed](corrupt_column).items()])
@@ -129,6 +134,8 @@ def run_silver(
     }
     if corrupt_column:
         rejects[T_REC_ENQ] = corrupt_defaulters(feeds["defaulters"], corrupt_column, ingest_ts)
+    if tables == "bucketed":
+        return _bucketed(results, rejects, locations, database)
     with ThreadPoolExecutor(WRITERS) as pool:  # independent writes fill the gaps that the last tasks of others leave
         good = {t: pool.submit(_counted, df, locations.silver[t], t in UNEVEN) for t, df in results.items()}
         rejected = {t: pool.submit(_counted, df, locations.rejected[t], True) for t, df in rejects.items()}
@@ -145,6 +152,18 @@ def run_silver(
     return SilverTables({t: df for t, (df, _) in good.items()}, {t: df for t, (df, _) in rejected.items()}, counts)
 
 
+def _bucketed(
+    results: Mapping[str, DataFrame], rejects: Mapping[str, DataFrame], locations: Locations, database: str
+) -> SilverTables:
+    """Dealing rows to buckets is a shuffle, so they are not counted on the way to it (see ``COUNTED_WHILE_WRITTEN``)."""
+    good = {}
+    for t, df in results.items():
+        key = LOAN if t in (T_LOANS, T_REPAYMENTS) else MEMBER
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        good[t] = save_bucketed(df, qualified(database, t), locations.silver[t], key, buckets)
+    return SilverTables(good, {t: write_parquet(df, locations.rejected[t], even=True) for t, df in rejects.items()})
+
+
 def _counted(df: DataFrame, path: str, even: bool) -> tuple[DataFrame, int]:
     """Store ``df`` and count its rows on the way, in the tasks that write them."""
     rows = Observation()
@@ -240,7 +259,11 @@ def run(
     weekly = run_gold(
         silver.good, excluded, locations, database, params, schedule, basis, null_mode, grain, weighted, own
     )
-    counted = reconcile_written(feeds["customers"], *silver.counts, corrupt_column)
+    if silver.counts:
+        counted = reconcile_written(feeds["customers"], *silver.counts, corrupt_column)
+    else:
+        written = silver.good | {f"{t}_rejected": df for t, df in silver.rejected.items()}
+        counted = reconcile(feeds, written, corrupt_column)
     return RunResult(silver, excluded, weekly, counted)
 
 

@@ -111,6 +111,17 @@ def save_table(df: DataFrame, name: str, path: str | None = None, even: bool = F
     return df.sparkSession.table(name)
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Overwrite an external table whose files are dealt by the hash of ``key`` into ``buckets`` and sorted by it.
+
+    Tables of like keys and buckets then join and aggregate on the key without a shuffle. All rows of a key lie in one bucket, which
+    one task reads, so this layout is for keys of which none holds more than a task's share.
+    """
+    dealt = df.repartition(buckets, key)  # otherwise every task would write a file a bucket
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def register_table(spark: SparkSession, name: str, path: str, schema: StructType | None = None) -> DataFrame:
     """Point an external table at files that are already there; no data is copied.
 

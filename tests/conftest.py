@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.host", "127.0.0.1")  # large results are fetched from there
         .config("spark.sql.debug.maxToStringFields", "1000")  # plans are compared as text
         .config("spark.sql.maxMetadataStringLength", "100000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

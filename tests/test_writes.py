@@ -98,3 +98,27 @@ def test_empty_feeds(spark, feeds, tmp_path):
     assert all(df.count() == 0 for df in (*result.good.values(), *result.rejected.values()))
     assert set(result.counts.stored.values()) == {0}
     assert {n for counts in result.counts.seen.values() for n in counts.values()} == {0}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, feeds, database, tmp_path, rows):
+    from creditloom.operators import gold
+
+    where = Locations.under(str(tmp_path))
+    result = run(feeds, where, database, schedule=WEEKLY, tables="bucketed")
+    assert rows(result.reconciliation) == rows(reconcile(feeds))
+    t = {name: spark.table(f"{database}.{name}") for name in SILVER_TABLES}
+    assert rows(gold(t, result.excluded)) == rows(spark.table(f"{database}.gold_loan_scores_weekly").drop("loan_final_grade"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_loan = t["loans_repayments"].join(t["loans"], "loan_id")
+        by_member = t["customers"].join(t["loans_defaulters_delinq"], "member_id").join(t["loans_defaulters_detail_rec_enq"], "member_id")
+        for df in (by_loan, by_member, by_member.groupBy("member_id").count()):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in text and "Exchange" not in text
+        # Scoring shuffles no repayments either; what goes on to the members are counts.
+        text = gold(t, result.excluded, hot={})._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(loan_id" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        run_silver(feeds, where, tables="bucketed")
