@@ -20,16 +20,16 @@ from creditloom.sources.schemas import CUSTOMERS, DEFAULTERS, LOAN_RENAMES, LOAN
 NAN = float("nan")
 
 
-def customer(member, emp_length="10 years", income=50000.0, state="NY", title="Manager"):
-    return (member, title, emp_length, "RENT", income, state, "12345", "USA", "A", "A1", "V", 1e5, "IND", 0.0, None)
+def customer(member, emp_length="10 years", income=41_250.0, state="OR", title="Welder"):
+    return (member, title, emp_length, "MORTGAGE", income, state, "970xx", "USA", "C", "C4", "Source Verified", 28_400.0, "Joint App", 77_000.0, None)
 
 
 def customers(spark, *members):
     return spark.createDataFrame(list(members), CUSTOMERS)
 
 
-def loan(loan_id="1", amount=1000.0, term="36 months", purpose="car", status="Paid", title="t"):
-    return (loan_id, "m", amount, 1000.0, term, 0.1, 100.0, "2024-01-01", status, purpose, title)
+def loan(loan_id="1", amount=7_350.0, term="36 months", purpose="car", status="Current", title="t"):
+    return (loan_id, "m", amount, 7_200.0, term, 11.75, 238.4, "Sep-2019", status, purpose, title)
 
 
 def loans(spark, *items):
@@ -180,10 +180,10 @@ def test_loans_without_title_column(spark):
 def test_repayments(spark):
     feed = repayments(
         spark,
-        ("ok", 1.0, 2.0, 3.0, 6.0, 1.0, "2024-01-01", "0.0"),
+        ("ok", 1.0, 2.0, 3.0, 6.0, 1.0, "Feb-2021", "0.0"),
         ("repaired", 100.0, 5.0, 1.0, 0.0, 1.0, "0.0", None),
-        ("zero", 0.0, 5.0, 1.0, 0.0, 1.0, "2024-01-01", "2024-01-01"),
-        ("minus zero", 0.0, 5.0, 1.0, -0.0, 1.0, "2024-01-01", "2024-01-01"),
+        ("zero", 0.0, 5.0, 1.0, 0.0, 1.0, "Feb-2021", "Feb-2021"),
+        ("minus zero", 0.0, 5.0, 1.0, -0.0, 1.0, "Feb-2021", "Feb-2021"),
         ("negative", 1.0, 0.0, 0.0, -5.0, 1.0, None, None),
         ("nan", 1.0, NAN, 0.0, 5.0, 1.0, None, None),
         ("null", 1.0, 0.0, 0.0, 5.0, None, None, None),
@@ -193,7 +193,7 @@ def test_repayments(spark):
     kept = {r.loan_id: r for r in good.collect()}
     assert set(kept) == {"ok", "repaired", "negative"}
     assert kept["repaired"].total_payment_received == 106.0
-    assert (kept["ok"].last_payment_date, kept["ok"].next_payment_date) == ("2024-01-01", None)
+    assert (kept["ok"].last_payment_date, kept["ok"].next_payment_date) == ("Feb-2021", None)
     assert kept["repaired"].last_payment_date is None
     assert sorted(r.loan_id for r in rejected.collect()) == ["null", "null and nan"]
     assert rejected.first().reject_reason == (
