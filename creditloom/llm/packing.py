@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from creditloom.llm.common import text_slices, text_table
-from creditloom.llm.tokens import ID, read_tokenizer, word_tokens
+from creditloom.llm.tokens import read_tokenizer, word_tokens
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 FIELDS = [f.split()[0] for f in PIECE.split(", ")]
@@ -37,10 +37,12 @@ class SumOfSquares:
         change[room] = 0  # which does not count if it is full,
         levels = counts[1 : room + 1]
         change[1:] += np.where(levels > 0, 1 - 2 * levels, 1 << 40)  # and one less at the level left
-        level = room - int(np.argmin(change[::-1]))
+        return self._into(room - int(np.argmin(change[::-1])), piece, size)
+
+    def _into(self, level: int, piece, size: int) -> list | None:
         if level:
             window = self.windows[level].pop()
-            counts[level] -= 1
+            self.counts[level] -= 1
             self.open -= 1
         else:
             window = []
@@ -48,10 +50,19 @@ class SumOfSquares:
         if level + size == self.capacity:
             return window
         self.windows[level + size].append(window)
-        counts[level + size] += 1
+        self.counts[level + size] += 1
         self.open += 1
         return None
 
+    def least_room(self) -> int:
+        """What the fullest open window still takes."""
+        return self.capacity - int(np.flatnonzero(self.counts)[-1])
+
+    def top_up(self, piece, size: int) -> list | None:
+        """Put a piece that fits into the fullest open window; its pieces if it is now full."""
+        level = self.capacity - self.least_room()
+        return self._into(level, piece, size)
+
     def drain(self) -> list:
         """All pieces of open windows, window by window."""
         pieces = [p for level in self.windows for window in level for p in window]
@@ -77,18 +88,18 @@ def cut_evenly(pieces: list, capacity: int) -> Iterator[list]:
                 window, room = [], next(left, 0)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, with_ids: bool = False, most_open: int = 4096) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, with_ids: bool = False, most_open: int = 256) -> DataFrame:
     """Pieces of all ``docs`` in sequences of at most ``capacity`` tokens, without padding.
 
     ``tokenizer`` is the path of a ``tokenizers`` file. A document's ids end with ``end_id``; whole windows are cut off long
     documents, and the rest is placed by the sum-of-squares rule. Every partition of the input packs its own documents,
-    in one pass without a shuffle, so a lost task is simply packed again. At its end, and whenever ``most_open`` windows
-    are open, the open windows are laid end to end and cut into full ones; what remains fills sequences whose
-    length is a power of two. NULL and empty texts give the end token alone; a NULL id stays NULL; rows that repeat an id
+    in one pass without a shuffle, so a lost task is simply packed again. While ``most_open`` windows are open, the fullest takes
+    what it has room for off the next document, so that it closes; the others stay as the rule left them. At the end of the
+    partition those still open are laid end to end and cut into full ones; what remains fills sequences whose
+    length is a power of two. An empty table gives no rows; texts of any length are encoded whole. NULL and empty texts give the end token alone; a NULL id stays NULL; rows that repeat an id
     are packed one by one; other columns are not read. ``with_ids`` adds the piece's ids (``binary``, little-endian, 32 bits).
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer))
-    end = np.array([end_id], ID).tobytes()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(shared.value)
@@ -112,17 +123,21 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
             return batch
 
         for batch in text_slices(batches):
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist()), strict=True):
-                ids = memoryview(ids + end)
-                tokens = len(ids) // 4
-                whole = tokens - tokens % capacity
-                for start in range(0, whole, capacity):
-                    close([(doc, start, ids[4 * start : 4 * (start + capacity)], tokens)])
-                if tokens > whole and (full := state.place((doc, whole, bytes(ids[4 * whole :]), tokens), tokens - whole)):
+            encoded, ends = words.encode(batch.column("text"), end_id)
+            data, begin = memoryview(encoded.tobytes()), 0
+            for doc, until in zip(batch.column("doc_id").to_pylist(), ends.tolist(), strict=True):
+                ids, tokens, at = data[4 * begin : 4 * until], until - begin, 0
+                begin = until
+                while tokens - at >= capacity:
+                    close([(doc, at, ids[4 * at : 4 * (at + capacity)], tokens)])
+                    at += capacity
+                while at < tokens and state.open >= most_open:
+                    part = min(tokens - at, state.least_room())
+                    if full := state.top_up((doc, at, bytes(ids[4 * at : 4 * (at + part)]), tokens), part):
+                        close(full)
+                    at += part
+                if at < tokens and (full := state.place((doc, at, bytes(ids[4 * at :]), tokens), tokens - at)):
                     close(full)
-                if state.open >= most_open:
-                    for window in cut_evenly(state.drain(), capacity):
-                        close(window)
             if rows:
                 yield out()
         for window in cut_evenly(state.drain(), capacity):

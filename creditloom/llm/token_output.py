@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import partitions_for, text_slices, text_table
@@ -21,6 +21,9 @@ SHARD = (
     " doc_ids binary, doc_known binary, doc_ends binary"
 )
 
+#: Rows of 16 bytes that may be broadcast.
+MOST_BROADCAST = 1_000_000
+
 
 class WaveletMatrix:
     """Succinct sequence of ids: one plane of bits for each binary digit, highest first.
@@ -122,20 +125,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(read_tokenizer(tokenizer))
-    end = np.array([end_id], ID).tobytes()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(shared.value)
         width = max(words.tokenizer.get_vocab_size() - 1, end_id).bit_length()
         part, shard, before = TaskContext.get().partitionId(), 0, 0
-        held_ids: list[bytes] = []
+        held_ids: list[np.ndarray] = []
         held_docs: list[int | None] = []
         held = 0
 
         def close() -> pa.RecordBatch:
             nonlocal shard, before, held
-            sizes = [len(x) // 4 for x in held_ids]
-            ids = np.frombuffer(b"".join(held_ids), ID)
+            sizes = [len(x) for x in held_ids]
+            ids = np.concatenate(held_ids)
             matrix = WaveletMatrix.build(ids.astype(np.uint16) if width <= 16 else ids, width)
             values = {
                 "part": part, "shard": shard, "tokens_before": before, "n_tokens": len(ids), "width": width, "zeros": matrix.zeros,
@@ -151,10 +153,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, sh
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values.values(), kinds, strict=True)], list(values))
 
         for batch in text_slices(batches):
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text").to_pylist()), strict=True):
-                held_ids.append(ids + end)
+            encoded, ends = words.encode(batch.column("text"), end_id)
+            begin = 0
+            for doc, until in zip(batch.column("doc_id").to_pylist(), ends.tolist(), strict=True):
+                held_ids.append(encoded[begin:until])
                 held_docs.append(doc)
-                held += len(ids) // 4 + 1
+                held += until - begin
+                begin = until
                 if held >= shard_tokens:
                     yield close()
         if held:
@@ -173,10 +178,11 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     """Per document, from the files at ``path``: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``,
     ``ids_crc32`` (of the ids as little-endian 32 bits) and, with ``with_ids``, the ids themselves."""
     files = spark.read.parquet(path)
-    # One row for each partition that wrote: as many as the write had tasks.
-    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
-    starts = np.cumsum([0] + [r["n"] for r in totals])
-    start_of = spark.sparkContext.broadcast({r["part"]: int(s) for r, s in zip(totals, starts, strict=False)})
+    # One short row for each partition that wrote; they meet the shards by broadcast as long as they are few.
+    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("part", F.coalesce(before, F.lit(0)).alias("part_start"))
+    files = files.join(F.broadcast(starts) if totals.count() <= MOST_BROADCAST else starts, "part")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +193,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                 begins = np.r_[0, ends[:-1]]
                 cuts = [data[4 * b : 4 * e] for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
                 doc = pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=~np.frombuffer(row["doc_known"], bool))
-                first = start_of.value[row["part"]] + row["tokens_before"]
+                first = row["part_start"] + row["tokens_before"]
                 columns = [doc, pa.array(first + begins), pa.array(ends - begins), pa.array([zlib.crc32(c) for c in cuts], pa.int64())]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 if with_ids:
