@@ -12,6 +12,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +41,13 @@ def shingle_texts(words: list[str], size: int) -> list[str]:
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` words (of all words, if fewer) from the words' hashes."""
     size = min(size, len(hashes))
-    out = np.zeros(len(hashes) - size + 1, np.uint64)
+    return shingles_at(hashes, np.arange(len(hashes) - size + 1), size)
+
+
+def shingles_at(hashes: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(len(places), np.uint64)
     for k in range(size):
-        out = mix(out * np.uint64(31) + hashes[k : len(hashes) - size + 1 + k])
+        out = mix(out * np.uint64(31) + hashes[places + k])
     return out
 
 
@@ -68,20 +73,26 @@ class ItemIndex:
             largest = max(len(self.shingles[row]) for row in rows)
             sketch = math.floor((1 - threshold) * largest + 1e-9) + 1
             for row in rows:
-                for h in np.unique(shingle_hashes(hashes.of(words[row]), size))[:sketch].tolist():
+                own = np.maximum(hashes.of(words[row]), np.uint64(1))  # 0 stands for words of no item
+                for h in np.unique(shingle_hashes(own, size))[:sketch].tolist():
                     self.rows_of[h].append(row)
         self.keys = np.array(sorted(self.rows_of), np.uint64)
         self.shift = np.uint64(64 - max(12, min(26, len(self.keys).bit_length() + 6)))
         self.seen = np.zeros(1 << (64 - int(self.shift)), bool)
         self.seen[self.keys >> self.shift] = True
         self.shorter = any(len(w) < size for w in words.values())
+        #: Hash of every word of an item; a shingle with any other word is in no item.
+        self.hash_of = {w: hashes[w] or 1 for words_ in words.values() for w in words_}
 
-    def search(self, words: list[str], hashes: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def search(self, words: list[str]) -> list[tuple[int, int, int, int]]:
         """Item id, row, shared and own shingles of every item contained in the document."""
+        hashes = np.fromiter(map(self.hash_of.get, words, repeat(0)), np.uint64, count=len(words))
+        known = np.r_[0, np.cumsum(hashes != 0)]
         found = np.empty(0, np.uint64)
         for size in range(1 if self.shorter else self.size, self.size + 1):  # items of fewer words are one shorter shingle
-            if len(hashes) >= size:
-                own = shingle_hashes(hashes, size)
+            places = np.flatnonzero(known[size:] - known[:-size] == size)
+            if len(places):
+                own = shingles_at(hashes, places, size)
                 own = own[self.seen[own >> self.shift]]
                 found = np.r_[found, own[np.isin(own, self.keys)]]
         if not len(found):
@@ -131,12 +142,10 @@ def contained_items(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, t
 
     def search(shared):
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = WordHashes()
             for batch in text_slices(batches):
                 rows = []
                 for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "text")), strict=True):
-                    words = words_of(text)
-                    rows += [(doc, th, *hit) for hit in shared.value.search(words, hashes.of(words))]
+                    rows += [(doc, th, *hit) for hit in shared.value.search(words_of(text))]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], [f.split()[0] for f in HIT.split(", ")])
 
