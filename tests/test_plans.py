@@ -34,7 +34,7 @@ def kind(spark, table):
 def test_weekly_run_with_a_database(spark, feeds, database, tmp_path, rows):
     where = Locations.under(str(tmp_path))
     result = run(feeds, where, database, schedule="weekly")
-    names = {t.name: t.tableType for t in spark.catalog.listTables(database)}
+    names = {t.name: t.tableType for t in spark.catalog.listTables(database) if not t.isTemporary}
     assert {n for n, k in names.items() if k == "EXTERNAL"} == {
         *SILVER_TABLES,
         "consolidated_bad_members",
