@@ -1,6 +1,7 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes for what they miss.
 
-The field is trained from a small labelled table on the driver and decoded by Viterbi in numpy batches of word blocks.
+The field is trained from a small labelled table on the driver. Where a word's own weights outdo whatever tag changes could add, its tag
+is certain, and a text falls into short chains between such words; equally long chains are decoded together by Viterbi in numpy.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ KINDS, OWN = ["email", "ip", "card", "phone"], "crf"
 TAGS = ["O", *KINDS]
 #: Words that are features by themselves; all others count by their shape.
 KEYWORDS = ("at", "dot", "phone", "call", "tel", "mail", "email", "e-mail", "card", "ip", "fax", "mobile", "number")
-BLOCK = 128
+#: Words in a chain, about; words up to this length are remembered with their weights.
+BLOCK, REMEMBERED = 128, 64
+#: Weights of a word that is O.
+FORCED = np.array([[0] + [-1e4] * (len(TAGS) - 1)], np.float32)
 
 _NAME = r"[A-Za-z0-9._%+-]"
 _EMAIL = re.compile(rf"{_NAME}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -58,8 +62,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def word_features(word: str) -> list[str]:
-    """Shape, shape without repeats, number of digits and marks of one word (its first 40 characters)."""
-    word = word[:40]
+    """Shape, shape without repeats, number of digits and marks of one word."""
     shape = "".join("9" if "0" <= c <= "9" else "X" if c.isupper() else "x" if c.isalpha() else c for c in word)
     short = re.sub(r"(.)\1+", r"\1", shape)
     digits = shape.count("9")
@@ -86,9 +89,15 @@ def labelled_sentences(count: int = 400, seed: int = 11) -> list[tuple[list[str]
     personal = {
         "email": [lambda: [f"{word()}.{digits(2)}@{word()}.com"], lambda: [word(), "at", word(), "dot", "com"], lambda: [word(), "(at)", word(), "(dot)", "org"], lambda: [f"{word()}[at]{word()}.net"]],
         "ip": [lambda: [".".join(str(r.integers(1, 255)) for _ in range(4))], lambda: [".".join(str(r.integers(1, 255)) for _ in range(4)) + pick([",", "."])]],
-        "card": [lambda: [digits(4) for _ in range(4)], lambda: [digits(16)], lambda: ["-".join(digits(4) for _ in range(4))]],
+        "card": [lambda: ["card", *(digits(4) for _ in range(4))], lambda: [".".join(digits(4) for _ in range(4))], lambda: ["/".join(digits(4) for _ in range(4))]],
         "phone": [lambda: [f"+{digits(2)}", digits(3), digits(4), digits(3)], lambda: [f"({digits(3)})", f"{digits(3)}-{digits(4)}"], lambda: [f"{digits(3)}-{digits(3)}-{digits(4)}"], lambda: [f"+{digits(11)}"]],
     }
+    # What looks alike and is not: prose around "at", and numbers that the patterns judge by themselves.
+    decoys = [
+        lambda: [word(), "at", word()], lambda: ["at", "at"], lambda: [word(), "at", "at", word()], lambda: [word(), "at", word(), "dot"], lambda: ["at", word(), "at", word()],
+        lambda: [digits(16)], lambda: [digits(4) for _ in range(4)], lambda: ["-".join(digits(4) for _ in range(4))], lambda: [digits(int(r.integers(9, 20)))],
+        lambda: [word(), "dot", word()], lambda: ["card", word()], lambda: ["number", digits(3)], lambda: ["call", word(), digits(2)],
+    ]
     out = []
     for _ in range(count):
         words = [pick(plain)() if r.random() < 0.4 else word() for _ in range(int(r.integers(3, 9)))]
@@ -98,6 +107,9 @@ def labelled_sentences(count: int = 400, seed: int = 11) -> list[tuple[list[str]
             entity = pick(personal[kind])()
             at = int(r.integers(len(words) + 1))
             words[at:at], tags[at:at] = entity, [kind] * len(entity)
+        elif r.random() < 0.7:
+            words += pick(decoys)() + [word()]
+            tags += ["O"] * (len(words) - len(tags))
         out.append((words, tags))
     return out
 
@@ -170,22 +182,39 @@ class Decoder(dict):
         if kind is None:
             kind = self.kinds[features] = len(self.rows)
             self.rows.append(self.crf.weights[:, list(features)].sum(axis=1))
-        self[word] = kind
+        if len(word) <= REMEMBERED:
+            self[word] = kind
         return kind
 
     def tags(self, texts: list[list[str]]) -> np.ndarray:
-        """Tag of every word; texts follow one another with a gap before each."""
+        """Tag of every word; texts follow one another with a gap, tagged O, before each."""
         if len(self) > self.most:
             self.clear()
         kinds = np.fromiter((k for words in texts for k in (0, *map(self.__getitem__, words))), np.int64)
         table = np.stack(self.rows)
         around = np.r_[0, kinds, 0]
         e = table[kinds, 0] + table[around[:-2], 1] + table[around[2:], 2]
-        e[kinds == 0] = [0] + [-1e4] * (len(TAGS) - 1)
-        count = -(-len(e) // BLOCK)
-        blocks = np.zeros((count * BLOCK, len(TAGS)), np.float32)
-        blocks[: len(e)] = e
-        return viterbi(blocks.reshape(count, BLOCK, -1), self.crf.change).ravel()[: len(e)]
+        # A tag other than O at such a word would lose more than its two tag changes can win: its tag is certain, as that of a gap.
+        change = self.crf.change
+        win = (change - change[:, :1]).max(axis=0) + (change - change[:1]).max(axis=1)
+        certain = (kinds == 0) | (e[:, :1] - e[:, 1:] > win[1:] + 1e-3).all(axis=1)
+        e[certain] = FORCED
+        # Chains begin at certain words, near BLOCK words apart where there are any, and are filled up with O.
+        sure = np.flatnonzero(certain)
+        begin = np.unique(sure[np.minimum(np.searchsorted(sure, np.arange(0, len(e), BLOCK)), len(sure) - 1)])
+        size = np.diff(np.r_[begin, len(e)])
+        width = 1 << np.ceil(np.log2(np.maximum(size + 1, BLOCK))).astype(np.int64)
+        out = np.zeros(len(e), np.int64)
+        e = np.concatenate([e, FORCED])
+        for length in np.unique(width).tolist():
+            some = np.flatnonzero(width == length)
+            for part in np.array_split(some, len(some) * length // 500_000 + 1):
+                places = begin[part, None] + np.arange(length)
+                places[np.arange(length) >= size[part, None]] = len(out)
+                found = viterbi(e[places], change)
+                inside = places < len(out)
+                out[places[inside]] = found[inside]
+        return out
 
 
 def viterbi(e: np.ndarray, change: np.ndarray) -> np.ndarray:
@@ -206,7 +235,8 @@ def personal_data(docs: DataFrame, sentences: list[tuple[list[str], list[str]]]
     """``doc_id``, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base_sha256`` and ``spans`` of every row of ``docs``.
 
     Base spans come from the patterns; the field, trained on ``sentences`` (words with their tags), adds runs of words tagged alike that overlap no base span, as ``crf``.
-    Whole texts are read; NULL and empty ones hold nothing. Rows that repeat an id or a text each get their row; a NULL id stays
+    Whole texts are read, each as a chain of its own, so spans do not depend on which texts share a batch; NULL and empty ones hold nothing; an
+    empty table gives no rows. Rows that repeat an id or a text each get their row; a NULL id stays
     NULL; other columns are not read.
     """
     crf = docs.sparkSession.sparkContext.broadcast(Crf(sentences or labelled_sentences()))  # some hundred features
