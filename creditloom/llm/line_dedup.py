@@ -12,6 +12,8 @@ from creditloom.llm.common import stored, text_hash, text_table
 #: Sites from which a line is boilerplate; words (single spaces apart) below which a line never is; HLL's log2 of registers.
 MIN_SITES, MIN_WORDS, LOG_K = 8, 3, 12
 
+COUNTS = ("n_lines", "n_removed")
+
 
 def _lines(docs: DataFrame, site: str, min_words: int) -> DataFrame:
     """Every counted line as two independent hashes with its site, document and number."""
@@ -82,18 +84,19 @@ def remove_repeated_lines(docs: DataFrame, site: str = "source", min_sites: int
     afterwards; a NULL text has no line and stays NULL, an empty text has one. Lines of rows without a site never count towards
     the spread, yet go if they are boilerplate elsewhere. Rows that repeat an id are told apart by their text; equal rows
     lose the same lines, and as neither comes before the other, first occurrences stay in both. Other columns, whatever
-    their names, are passed through.
+    their names, are passed through; only with ``counts`` these take the place of columns of their own names. An empty table
+    gives no rows; lines and texts of any length are whole.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     held = docs.select(row, F.col("doc_id").cast("long").alias("i"), text_hash().alias("t"))
     gone = repeated_lines(docs, site, min_sites, min_words).select(F.col("doc_id").alias("gi"), F.col("th").alias("gt"), "gone")
     text = F.col("row").getField("text")
-    return held.join(gone, F.col("i").eqNullSafe(F.col("gi")) & (F.col("t") == F.col("gt")), "left").select(
-        *[(kept_text(text, F.col("gone")) if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns],
-        *[
-            F.when(text.isNull(), F.lit(0)).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines"),
-            F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_removed"),
-        ][: 2 * counts],
+    joined = held.join(gone, F.col("i").eqNullSafe(F.col("gi")) & (F.col("t") == F.col("gt")), "left")
+    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(F.split(text, "\n"))).cast("long")
+    n_removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
+    return joined.select(
+        *[(kept_text(text, F.col("gone")) if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns if not counts or c not in COUNTS],
+        *[n.alias(c) for n, c in zip((n_lines, n_removed), COUNTS, strict=True)][: 2 * counts],
     )
 
 

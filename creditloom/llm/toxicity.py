@@ -26,7 +26,7 @@ MAX_LABELLED, BEGINNINGS = 8000, (4, 5, 6)
 LOOK_ALIKE = str.maketrans("аеорсхуіјѕԁһӏкмтвαεορτυικν", "aeopcxyijsdhlkmtbaeoptuikv")
 # Digits and marks in place of letters.
 SUBSTITUTE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-HIDDEN = re.compile("[­​-‏⁠﻿]")
+HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 INSIDE = re.compile(r"[013457@$!](?=[013457@$!]*[^\W\d_])")
 WORD = re.compile(r"[^\W\d_]+")
 
