@@ -52,7 +52,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"), size=20, first=10, with_text=False)
+    return remove_repeats(table(spark, sf_dir, "documents"), size=20, first=5, with_text=False)
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
