@@ -50,7 +50,8 @@ def found(df):
 def rows(prose):
     long = "ab" * 3000
     odd = [(None, None), (1, ""), (2, " 12 \n"), (None, "ÀÉstran Àéstran àÉSTRAN ×÷×÷×÷ ×÷×÷×÷ ×÷×÷×÷"), (3, f"{long} {long}x {long[1:]}"), (3, f"{long} {long}x {long[1:]}")]
-    return [*odd, (4, f"{long} {long}x {long[1:]}"), *((10 + k, prose(400)) for k in range(8)), (10, prose(300))]
+    chain = (200, "planet " * 24 + "planets " * 8 + "planetse " * 3)
+    return [*odd, chain, (4, f"{long} {long}x {long[1:]}"), *((10 + k, prose(400)) for k in range(8)), (10, prose(300))]
 
 
 def test_against_brute_force(documents, rows):
